@@ -1,0 +1,58 @@
+"""Groups too large for one task: find them, and cut them into parts."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from orderloom.operators.joins import same_key
+
+# Rows of one group that a single task may hold at once.
+GROUP_ROWS = 200_000
+# Hot groups that may travel as a broadcast; beyond it they are joined by shuffle.
+MAX_HOT_GROUPS = 10_000
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> DataFrame | None:
+    """Keys with more than ``group_rows`` rows, with their row count; None if there are none.
+
+    The counts are aggregated before the shuffle. At most MAX_HOT_GROUPS keys reach
+    the driver, so a broadcast of them is small by construction.
+    """
+    counted = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+               .filter(F.col("_rows") > group_rows)
+               .select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_rows"))
+    found = counted.limit(MAX_HOT_GROUPS + 1).collect()
+    if not found:
+        return None
+    if len(found) > MAX_HOT_GROUPS:
+        return counted
+    return F.broadcast(df.sparkSession.createDataFrame(found, counted.schema))
+
+
+def split_hot(df: DataFrame, keys: Sequence[str],
+              group_rows: int = GROUP_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary groups, and rows of hot groups (None if there are none)."""
+    hot = hot_groups(df, keys, group_rows)
+    if hot is None:
+        return df, None
+    match = same_key(df, hot, {k: f"_h_{k}" for k in keys})
+    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
+
+
+def with_part(df: DataFrame, keys: Sequence[str], spread_by: Sequence[Column | str],
+              group_rows: int | None = GROUP_ROWS, name: str = "part") -> DataFrame:
+    """Number the parts of each group: 0 for ordinary groups, 0..n-1 for hot ones.
+
+    No row is lost: a hot group is dealt out by the hash of ``spread_by``. Pass
+    ``group_rows=None`` only where the group is bounded by construction.
+    """
+    hot = None if group_rows is None else hot_groups(df, keys, group_rows)
+    if hot is None:
+        return df.withColumn(name, F.lit(0))
+    joined = df.join(hot, same_key(df, hot, {k: f"_h_{k}" for k in keys}), "left")
+    parts = F.ceil(F.col("_rows") / F.lit(group_rows))
+    part = F.when(parts.isNotNull(), F.pmod(F.xxhash64(*spread_by), parts)).otherwise(F.lit(0))
+    return joined.withColumn(name, part.cast("int")).drop("_rows", *[f"_h_{k}" for k in keys])
