@@ -121,7 +121,8 @@ def scd2_merge(target: DataFrame, staged: DataFrame,
 
 
 def scd2_close(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """End every version where the next one of its key starts; the last stays active.
+    """End every version where the next one of its key starts; the last stays active,
+    unless a delete has ended it.
 
     Ordinary keys take one window. A key with more versions than a task should hold
     is closed by ``_next_start_hot`` instead, with the same result.
@@ -131,10 +132,10 @@ def scd2_close(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     nexts = calm.withColumn("_next", F.lead("start_ts").over(order))
     if hot is not None:
         nexts = nexts.unionByName(_next_start_hot(hot))
-    return nexts.withColumns({
-        "end_ts": F.col("_next"),
-        "active_flg": F.when(F.col("_next").isNull(), "Y").otherwise("N"),
-    }).drop("_next")
+    # a version that a delete has ended keeps its earlier end
+    ended = F.when(F.col("active_flg") == "N", F.col("end_ts"))
+    return nexts.withColumn("end_ts", F.least(ended, "_next")).withColumn(
+        "active_flg", F.when(F.col("end_ts").isNull(), "Y").otherwise("N")).drop("_next")
 
 
 def _next_start_hot(df: DataFrame) -> DataFrame:

@@ -1,0 +1,14 @@
+"""Queries that run every operator on the provided tables, with check SQL."""
+
+from __future__ import annotations
+
+from orderloom.workload import basics  # noqa: F401  (registers its queries)
+from orderloom.workload.registry import CHECKS, QUERIES
+
+
+def all_queries():
+    return dict(QUERIES)
+
+
+def all_checks():
+    return dict(CHECKS)
