@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from orderloom.workload import basics  # noqa: F401  (registers its queries)
+# importing a module registers its queries
+from orderloom.workload import basics, loads  # noqa: F401
 from orderloom.workload.registry import CHECKS, QUERIES
 
 
