@@ -34,42 +34,44 @@ def absolute_total(*amounts: Column | str) -> Column:
 
 
 def pack_ordered(df: DataFrame, keys: Sequence[str], order: Mapping[str, Column], item: Column, name: str,
-                 group_rows: int | None = GROUP_ROWS, part: str | None = "part") -> DataFrame:
+                 group_rows: int = GROUP_ROWS, part: str = "part", sized_by: DataFrame | None = None) -> DataFrame:
     """One array of items per key, in ascending order of the ``order`` values.
 
     A null item is left out. A group above ``group_rows`` is given out as several
-    rows, numbered in ``part`` and each sorted, so that no task holds it whole. Set
-    ``part`` to None only together with ``group_rows=None``.
+    rows, numbered in ``part`` and each sorted, so that no task holds it whole.
+    ``sized_by`` is a table, cheaper to scan, whose groups are at least as large.
     """
     entry = F.struct(*[c.alias(n) for n, c in order.items()], item.alias("_item"))
     rows = df.select(*keys, entry.alias("_entry")).filter(F.col("_entry._item").isNotNull())
-    rows = with_part(rows, keys, ["_entry"], group_rows, "_part")
-    grouped = [*keys, "_part"] if part else list(keys)
-    packed = rows.groupBy(*grouped).agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
-    items = F.transform("_entries", lambda e: e["_item"]).alias(name)
-    return packed.select(*keys, *([F.col("_part").alias(part)] if part else []), items)
+    rows = with_part(rows, keys, ["_entry"], group_rows, "_part", sized_by)
+    packed = rows.groupBy(*keys, "_part").agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
+    return packed.select(*keys, F.col("_part").alias(part), F.transform("_entries", lambda e: e["_item"]).alias(name))
 
 
-def distinct_text(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+def distinct_text(df: DataFrame, keys: Sequence[str], value: str, name: str,
+                  sized_by: DataFrame | None = None) -> DataFrame:
     """The distinct values of each key as one sorted JSON array text.
 
     Duplicates go before the values are collected.
     """
     distinct = df.select(*keys, value).filter(F.col(value).isNotNull()).distinct()
-    packed = pack_ordered(distinct, keys, {"_v": F.col(value)}, F.col(value), "_values")
+    packed = pack_ordered(distinct, keys, {"_v": F.col(value)}, F.col(value), "_values", sized_by=sized_by)
     return packed.select(*keys, "part", F.to_json("_values").alias(name))
 
 
-def pivot_notes(df: DataFrame, keys: Sequence[str], kind: Column, text: Column, name: str) -> DataFrame:
+def pivot_notes(df: DataFrame, keys: Sequence[str], kind: Column, text: Column, name: str,
+                sized_by: DataFrame | None = None) -> DataFrame:
     """Notes per key as a JSON array holding one object: note kind to its highest text."""
     notes = (df.select(*keys, kind.alias("_kind"), text.alias("_text"))
              .filter(F.col("_kind").isNotNull() & F.col("_text").isNotNull())
              .groupBy(*keys, "_kind").agg(F.max("_text").alias("_text")))
-    packed = pack_ordered(notes, keys, {"_kind": F.col("_kind")}, F.struct("_kind", "_text"), "_notes")
+    packed = pack_ordered(notes, keys, {"_kind": F.col("_kind")}, F.struct("_kind", "_text"), "_notes",
+                          sized_by=sized_by)
     return packed.select(*keys, "part", F.to_json(F.array(F.map_from_entries("_notes"))).alias(name))
 
 
-def union_arrays(df: DataFrame, keys: Sequence[str], array: str, name: str) -> DataFrame:
+def union_arrays(df: DataFrame, keys: Sequence[str], array: str, name: str,
+                 sized_by: DataFrame | None = None) -> DataFrame:
     """Multiset union of the arrays of each key: every value as often as in the array
     that holds it most often. Sorted by value."""
     counted = df.select(*keys, F.explode(F.transform(
@@ -77,7 +79,7 @@ def union_arrays(df: DataFrame, keys: Sequence[str], array: str, name: str) -> D
         lambda v: F.struct(v.alias("v"), F.size(F.filter(F.col(array), lambda x: x.eqNullSafe(v))).alias("n")))
     ).alias("_e"))
     most = counted.groupBy(*keys, F.col("_e.v").alias("_v")).agg(F.max("_e.n").alias("_n"))
-    packed = pack_ordered(most, keys, {"_v": F.col("_v")}, F.struct("_v", "_n"), "_runs")
+    packed = pack_ordered(most, keys, {"_v": F.col("_v")}, F.struct("_v", "_n"), "_runs", sized_by=sized_by)
     return packed.select(*keys, "part",
                          F.flatten(F.transform("_runs", lambda e: F.array_repeat(e["_v"], e["_n"]))).alias(name))
 

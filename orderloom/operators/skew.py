@@ -43,13 +43,14 @@ def split_hot(df: DataFrame, keys: Sequence[str],
 
 
 def with_part(df: DataFrame, keys: Sequence[str], spread_by: Sequence[Column | str],
-              group_rows: int | None = GROUP_ROWS, name: str = "part") -> DataFrame:
+              group_rows: int = GROUP_ROWS, name: str = "part", sized_by: DataFrame | None = None) -> DataFrame:
     """Number the parts of each group: 0 for ordinary groups, 0..n-1 for hot ones.
 
-    No row is lost: a hot group is dealt out by the hash of ``spread_by``. Pass
-    ``group_rows=None`` only where the group is bounded by construction.
+    No row is lost: a hot group is dealt out by the hash of ``spread_by``. Groups are
+    counted in ``sized_by`` where it is given, a table whose groups are at least as
+    large, so that the rows themselves are not computed for the count.
     """
-    hot = None if group_rows is None else hot_groups(df, keys, group_rows)
+    hot = hot_groups(df if sized_by is None else sized_by, keys, group_rows)
     if hot is None:
         return df.withColumn(name, F.lit(0))
     joined = df.join(hot, same_key(df, hot, {k: f"_h_{k}" for k in keys}), "left")

@@ -100,8 +100,8 @@ def line_charge_details(charges: DataFrame, original_process: str) -> DataFrame:
         F.lit(2).alias("adjustmentType"), F.lit("RETURN LABEL FEE").alias("adjustmentTypeDesc"),
         F.lit("NA").alias("adjustmentTypeId"), F.abs("charge_total").alias("amount"),
         F.lit("NA").alias("override")))
-    coupons = pack_ordered(rows, LINE_LINK, order, coupon, "_coupons", part="coupons_part")
-    fees = pack_ordered(rows, LINE_LINK, order, fee, "_fees", part="fees_part")
+    coupons = pack_ordered(rows, LINE_LINK, order, coupon, "_coupons", part="coupons_part", sized_by=charges)
+    fees = pack_ordered(rows, LINE_LINK, order, fee, "_fees", part="fees_part", sized_by=charges)
     joined = (extra.join(charge_sums(charges, LINE_LINK, original_process), list(LINE_LINK))
               .join(coupons, list(LINE_LINK), "left").join(fees, list(LINE_LINK), "left"))
     return joined.withColumns({
@@ -351,7 +351,7 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
     lost_taxes = tax_sums(tables["cancelled_line_taxes"], LINE_LINK, original_process).drop("tax_code")
     releases = release_rows(tables, lines)
     notes = pivot_notes(tables["line_notes"], LINE_LINK, F.replace(F.lower("note_type_id"), F.lit(" "), F.lit("")),
-                        F.col("note_text"), "notes").withColumnRenamed("part", "notes_part")
+                        F.col("note_text"), "notes", sized_by=tables["line_notes"]).withColumnRenamed("part", "notes_part")
     statuses = for_profile(tables["statuses"], profile).select(
         F.col("status").try_cast("int").alias("_status"), F.col("description")).dropDuplicates(["_status"])
     reasons = for_profile(tables["reasons"], profile).select(
@@ -362,10 +362,11 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
         "location_id", "return_location")
     promised = newest_of(tables["promising"], LINE_LINK, ("ship_from_location_id",)).withColumnRenamed(
         "ship_from_location_id", "_promised_from")
-    addresses = prefixed(tables["ship_to_addresses"], "ship_", keys=("org_id", "order_id"))
+    addresses = prefixed(tables["ship_to_addresses"], "ship_", keys=ORDER_KEY).withColumnRenamed(
+        "ship_address_id", "ship_to_address_id")
     selling = item_attributes(tables, item_profile, ("is_returnable_at_store", "is_returnable_at_dc"))
     more = tables["line_additional"].select(*LINE_LINK, "return_reason")
-    houses = tables["warehouses"].select("org_id", F.col("warehouse_id").alias("_house"),
+    houses = tables["warehouses"].select("org_id", F.col("warehouse_id").alias("_from"),
                                          F.col("store_number").alias("_house_store"))
     kinds = tables["locations"].filter(F.col("reporting_flg") == "Y").select(
         "location_id", F.col("location_type_id").alias("_kind"))
@@ -373,9 +374,7 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
     rows = lines.withColumnsRenamed({"pk": "order_line_pk"}).drop("cancel_reason_id", "cancel_reason_desc",
                                                                  "tracking_number", "tax_code")
     rows = (rows.join(heads, list(ORDER_LINK))
-            .join(addresses, (rows["org_id"] == addresses["org_id"]) & (rows["order_id"] == addresses["order_id"])
-                  & (F.col("ship_to_address_id") == F.col("ship_address_id")), "left")
-            .drop(addresses["org_id"]).drop(addresses["order_id"])
+            .join(addresses, [*ORDER_KEY, "ship_to_address_id"], "left")
             .join(fulfilled_lines(tables, releases), list(LINE_LINK), "left")
             .join(promised, list(LINE_LINK), "left"))
     for column, name in (("min_fulfillment_status_id", "min_status_desc"),
@@ -390,8 +389,7 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
 
     # a warehouse is known by its store number; the location type follows that number
     rows = rows.withColumn("_from", F.coalesce("release_ship_from", "_promised_from", "physical_origin_id"))
-    rows = rows.join(houses, (rows["org_id"] == houses["org_id"]) & (F.col("_from") == F.col("_house")), "left"
-                     ).drop(houses["org_id"])
+    rows = rows.join(houses, ["org_id", "_from"], "left")
     rows = rows.withColumn("ship_from_location", F.coalesce("_house_store", "_from"))
     for column, name in (("ship_from_location", "ship_from_type"), ("ship_to_location_id", "ship_to_type")):
         table = kinds.select(F.col("location_id").alias("_place"), F.col("_kind").alias(name))
@@ -426,7 +424,7 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
         "cancelled_discount": F.col("cancelled_total_discounts"),
     }
     return with_json_fields(rows, "json_store", LINE_JSON).withColumns(derived).drop(
-        "json_store", "_launch", "_order_total", "_order_type", "_backorder", "_promised_from", "_from", "_house",
+        "json_store", "_launch", "_order_total", "_order_type", "_backorder", "_promised_from", "_from",
         "_house_store", "total_discounts", "total_charges", "total_taxes", "order_line_sub_total",
         "order_line_total", "cancelled_order_line_sub_total", "cancelled_total_discounts")
 
@@ -447,16 +445,14 @@ def _invoiced_transactions(tables: Tables, transactions: DataFrame) -> DataFrame
         F.col("payment_transaction_detail_id").alias("transaction_detail_id"),
         F.col("amount").alias("_detail_amount"), F.col("reference_id").alias("_invoice"))
     invoices = tables["invoices"].select(
-        "org_id", F.col("pk").alias("invoice_pk"), F.col("invoice_id"), F.col("package_id"),
-        F.col("invoice_type"), F.col("invoice_total"))
+        "org_id", F.col("invoice_id").alias("_invoice"), F.col("invoice_id"), F.col("pk").alias("invoice_pk"),
+        "package_id", "invoice_type", "invoice_total")
     lines = tables["invoice_lines"].select(
         "org_id", "invoice_pk", "invoice_line_id", "order_line_id", "item_id", "package_detail_id",
         F.col("invoice_line_total"), F.col("updated_timestamp").alias("invoice_line_updated_ts"))
     rows = transactions.withColumn("transaction_pk", F.col("pk"))
     return (rows.join(details, ["org_id", "transaction_pk"], "left")
-            .join(invoices.withColumnRenamed("invoice_id", "_known"),
-                  (rows["org_id"] == invoices["org_id"]) & (F.col("_invoice") == F.col("_known")), "left")
-            .drop(invoices["org_id"]).withColumnRenamed("_known", "invoice_id")
+            .join(invoices, ["org_id", "_invoice"], "left")
             .join(lines, ["org_id", "invoice_pk"], "left"))
 
 
@@ -491,7 +487,7 @@ def payment_line_fact(tables: Tables, changed: DataFrame | None = None) -> DataF
                                              F.col("status").alias("payment_status"))
     methods = prefixed(tables["payment_methods"].drop("order_id"), "method_",
                        keys=("org_id", "payment_header_pk", "payment_type", "card_type", "payment_method_id"))
-    billing = prefixed(tables["billing_addresses"], "billing_", keys=("org_id",))
+    billing = prefixed(tables["billing_addresses"], "billing_", keys=("org_id", "payment_method_pk"))
     name = F.lower("name")
     attributes = tables["method_attributes"].groupBy("org_id", "payment_method_pk").agg(
         max_if(name == "cvvresultcode", "value").alias("cvv_response"),
@@ -501,9 +497,7 @@ def payment_line_fact(tables: Tables, changed: DataFrame | None = None) -> DataF
                                              F.col("status_name").alias("payment_status_desc"))
     rows = (known.withColumn("payment_method_pk", F.col("method_pk"))
             .join(rows, ["org_id", "payment_method_pk"])
-            .join(billing, (known["org_id"] == billing["org_id"])
-                  & (F.col("payment_method_pk") == F.col("billing_payment_method_pk")), "left")
-            .drop(billing["org_id"])
+            .join(billing, ["org_id", "payment_method_pk"], "left")
             .join(attributes, ["org_id", "payment_method_pk"], "left")
             .join(paid, F.col("payment_status").try_cast("int") == F.col("_paid"), "left"))
     return rows.withColumns({

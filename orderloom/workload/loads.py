@@ -176,9 +176,10 @@ def _three_batches(t: Inputs) -> DataFrame:
     old = F.col("o_orderstatus")
     changed = F.when(F.col("o_orderkey") % 3 == 0, F.lit("Q")).otherwise(old)
     back = F.when(F.col("o_orderkey") % 6 == 0, old).otherwise(changed)
-    state = H.scd2_close(_batch(t, FIRST_DAY, 1, old, "o_orderkey % 10 <> 0"))
-    state = H.scd2_merge(state, _batch(t, SECOND_DAY, 2, changed, "o_orderkey % 10 <> 0"))
-    return H.scd2_merge(state, _batch(t, THIRD_DAY, 3, back, "TRUE"))
+    table = SnapshotTable(t.spark, new_folder(t, "versions"))
+    table.write(_batch(t, FIRST_DAY, 1, old, "o_orderkey % 10 <> 0"))
+    table.write(H.scd2_merge(table.read(), _batch(t, SECOND_DAY, 2, changed, "o_orderkey % 10 <> 0")))
+    return table.write(H.scd2_merge(table.read(), _batch(t, THIRD_DAY, 3, back, "TRUE")))
 
 
 # versions as (order, status, first day, end day)
