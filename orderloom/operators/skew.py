@@ -47,13 +47,15 @@ def with_part(df: DataFrame, keys: Sequence[str], spread_by: Sequence[Column | s
     """Number the parts of each group: 0 for ordinary groups, 0..n-1 for hot ones.
 
     No row is lost: a hot group is dealt out by the hash of ``spread_by``. Groups are
-    counted in ``sized_by`` where it is given, a table whose groups are at least as
-    large, so that the rows themselves are not computed for the count.
+    counted in ``sized_by`` where it is given, by those keys it has: a table whose groups
+    are at least as large, so that the rows themselves are not computed for the count.
     """
-    hot = hot_groups(df if sized_by is None else sized_by, keys, group_rows)
+    counted = df if sized_by is None else sized_by
+    known = [k for k in keys if k in counted.columns]
+    hot = hot_groups(counted, known, group_rows)
     if hot is None:
         return df.withColumn(name, F.lit(0))
-    joined = df.join(hot, same_key(df, hot, {k: f"_h_{k}" for k in keys}), "left")
+    joined = df.join(hot, same_key(df, hot, {k: f"_h_{k}" for k in known}), "left")
     parts = F.ceil(F.col("_rows") / F.lit(group_rows))
     part = F.when(parts.isNotNull(), F.pmod(F.xxhash64(*spread_by), parts)).otherwise(F.lit(0))
-    return joined.withColumn(name, part.cast("int")).drop("_rows", *[f"_h_{k}" for k in keys])
+    return joined.withColumn(name, part.cast("int")).drop("_rows", *[f"_h_{k}" for k in known])
