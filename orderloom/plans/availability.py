@@ -85,7 +85,7 @@ def publish_network(facts: DataFrame, products: DataFrame) -> DataFrame:
     canada = F.concat_ws("-", "online_ca_sku", "online_ca_sku_size")
     product = F.when(F.col("banner_id") == codes.US_BANNER, us).when(
         F.col("banner_id") == codes.CANADA_BANNER, canada)
-    region = F.substring_index("selling_channel", "-", 2)
+    region = F.trim(F.substring_index("selling_channel", "-", 2))  # channels may have blanks around the dash
     keyed = facts.withColumns({"banner_id": codes.product_banner(region), "global_size_id": F.trim("item_id")})
     joined = keyed.join(table, ["banner_id", "global_size_id"], "left")
     known = F.col("sku_number").isNotNull() | F.col("online_us_sku").isNotNull() | F.col("online_ca_sku").isNotNull()

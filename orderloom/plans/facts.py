@@ -210,12 +210,12 @@ def order_header_fact(tables: Tables, original_process: str, profile: str | None
     orders = tables["orders"]
     keyed = orders.withColumn("order_pk", F.col("pk"))
     statuses = for_profile(tables["statuses"], profile).select(
-        F.col("status").try_cast("int").alias("_status"), F.lower("process_type_id").alias("_process"),
+        status_or_null("status").alias("_status"), F.lower("process_type_id").alias("_process"),
         F.col("description"))
 
     def described(df: DataFrame, column: str, process: str, name: str) -> DataFrame:
         table = statuses.filter(F.col("_process") == process).select("_status", F.col("description").alias(name))
-        return df.join(table, F.col(column).try_cast("int") == F.col("_status"), "left").drop("_status")
+        return df.join(table, status_or_null(column) == F.col("_status"), "left").drop("_status")
 
     rows = described(keyed, "min_fulfillment_status_id", "order_execution", "min_status_desc")
     rows = described(rows, "max_fulfillment_status_id", "order_execution", "max_status_desc")
@@ -225,7 +225,7 @@ def order_header_fact(tables: Tables, original_process: str, profile: str | None
         F.col("order_type_id").alias("_kind"), F.col("doc_type_id").alias("doc_type"))
     reasons = for_profile(tables["reasons"], profile).select(
         F.col("reason_id").alias("_reason"), F.col("description").alias("cancel_reason_desc"))
-    paid = tables["payment_statuses"].select(F.col("status_id").try_cast("int").alias("_paid"),
+    paid = tables["payment_statuses"].select(status_or_null("status_id").alias("_paid"),
                                              F.col("status_name").alias("payment_status_desc"))
     notes = tables["order_notes"].filter(F.lower("note_type_id") == "csaordernote")
     order_kinds = ("coupon", "promotion", "shipping")
@@ -236,7 +236,7 @@ def order_header_fact(tables: Tables, original_process: str, profile: str | None
 
     rows = (rows.join(kinds, F.col("order_type_id") == F.col("_kind"), "left").drop("_kind")
             .join(reasons, F.col("cancel_reason_id") == F.col("_reason"), "left").drop("_reason")
-            .join(paid, F.col("payment_status_id").try_cast("int") == F.col("_paid"), "left").drop("_paid")
+            .join(paid, status_or_null("payment_status_id") == F.col("_paid"), "left").drop("_paid")
             .join(newest_of(tables["order_holds"], ORDER_LINK, ("status_id", "resolve_reason_id", "hold_type"),
                             prefix="hold_"), list(ORDER_LINK), "left")
             .join(newest_of(tables["tracking"], ORDER_LINK, ("tracking_number",)), list(ORDER_LINK), "left")
@@ -326,7 +326,7 @@ def fulfilled_lines(tables: Tables, releases: DataFrame) -> DataFrame:
 
 def backordered_lines(line_history: DataFrame) -> DataFrame:
     """Lines that were on backorder at any time."""
-    rows = line_history.filter(F.col("max_fulfillment_status_id").try_cast("int") == 1500)
+    rows = line_history.filter(status_or_null("max_fulfillment_status_id") == 1500)
     return rows.select("org_id", "order_pk", F.col("pk").alias("order_line_pk")).distinct().withColumn(
         "_backorder", F.lit(True))
 
@@ -353,7 +353,7 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
     notes = pivot_notes(tables["line_notes"], LINE_LINK, F.replace(F.lower("note_type_id"), F.lit(" "), F.lit("")),
                         F.col("note_text"), "notes", sized_by=tables["line_notes"]).withColumnRenamed("part", "notes_part")
     statuses = for_profile(tables["statuses"], profile).select(
-        F.col("status").try_cast("int").alias("_status"), F.col("description")).dropDuplicates(["_status"])
+        status_or_null("status").alias("_status"), F.col("description")).dropDuplicates(["_status"])
     reasons = for_profile(tables["reasons"], profile).select(
         F.col("reason_id").alias("cancel_reason_id"), F.col("description").alias("cancel_reason_desc"))
     cancelled = (newest_of(tables["cancel_history"], LINE_LINK, ("cancel_reason",))
@@ -380,7 +380,7 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
     for column, name in (("min_fulfillment_status_id", "min_status_desc"),
                          ("max_fulfillment_status_id", "max_status_desc")):
         table = statuses.select("_status", F.col("description").alias(name))
-        rows = rows.join(table, F.col(column).try_cast("int") == F.col("_status"), "left").drop("_status")
+        rows = rows.join(table, status_or_null(column) == F.col("_status"), "left").drop("_status")
     for other in (charges, taxes, _cancelled(lost_charges, LINE_LINK), _cancelled(lost_taxes, LINE_LINK),
                   returned, cancelled, more, notes):
         rows = rows.join(other, list(LINE_LINK), "left")
@@ -493,13 +493,13 @@ def payment_line_fact(tables: Tables, changed: DataFrame | None = None) -> DataF
         max_if(name == "cvvresultcode", "value").alias("cvv_response"),
         max_if(name == "avsresultcode", "value").alias("avs_code"))
     known = heads.join(methods, ["org_id", "payment_header_pk"])
-    paid = tables["payment_statuses"].select(F.col("status_id").try_cast("int").alias("_paid"),
+    paid = tables["payment_statuses"].select(status_or_null("status_id").alias("_paid"),
                                              F.col("status_name").alias("payment_status_desc"))
     rows = (known.withColumn("payment_method_pk", F.col("method_pk"))
             .join(rows, ["org_id", "payment_method_pk"])
             .join(billing, ["org_id", "payment_method_pk"], "left")
             .join(attributes, ["org_id", "payment_method_pk"], "left")
-            .join(paid, F.col("payment_status").try_cast("int") == F.col("_paid"), "left"))
+            .join(paid, status_or_null("payment_status") == F.col("_paid"), "left"))
     return rows.withColumns({
         "order_id": F.col("_head_order"),
         "transaction_id": F.col("payment_transaction_id"),

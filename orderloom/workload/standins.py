@@ -370,6 +370,8 @@ def check_sql(body: str, *uses: str) -> str:
             needed.append(name)
 
     for name in uses:
+        if name not in STANDINS:
+            raise KeyError(f"unknown stand-in {name}")
         visit(name)
     ctes = [f"{n} AS ({_plain(STANDINS[n])})" for n in needed]
     if not ctes:
