@@ -64,10 +64,16 @@ def append_partitioned(df: DataFrame, path: str, by: Mapping[str, Column] | Sequ
     names = list(by)
     if isinstance(by, Mapping):
         df = df.withColumns(dict(by))
-    df.write.mode("append").partitionBy(*names).parquet(path)
+    _clustered(df, names).write.mode("append").partitionBy(*names).parquet(path)
+
+
+def _clustered(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows of a partition side by side, so that each gets few files. A rebalance splits
+    large partition values over several tasks, which a plain repartition would not."""
+    return df.hint("rebalance", *names)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Write partitions whole; the ones not named in ``df`` stay. Safe to run again."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_clustered(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path))

@@ -246,7 +246,7 @@ def _dbl(expr: str, name: str) -> str:
     SELECT {LINK}, replace(lower(note_type_id), ' ', '') AS k, max(note_text) AS v FROM src_notes GROUP BY ALL)
     GROUP BY ALL),
   j AS (SELECT l.*, o.order_total, o.order_type_id, c.*  EXCLUDE (org_id, order_line_pk), x.ship_now AS st_now,
-      x.sales_now, x.sales_first, x.tax_code AS tcode, lc.coupon AS l_coupon, lx.sales_now AS l_sales,
+      x.sales_now, x.sales_first, x.tax_code AS tcode, lc.coupon AS l_coupon, coalesce(lx.sales_first, lx.sales_now) AS l_sales,
       coalesce(fd.ship_from, po.promised, l.physical_origin_id) AS place0, fd.package_status, n.notes,
       bo.order_line_pk IS NOT NULL AS bo
     FROM l JOIN src_orders o ON o.org_id = l.org_id AND o.pk = l.order_pk
@@ -790,7 +790,7 @@ _PUBLISHED_NETWORK = f"""SELECT DISTINCT CASE p.banner_id WHEN '81' THEN p.onlin
 def publish_network_rows(t: Inputs) -> DataFrame:
     return V.publish_network(t["src_network"], t["products"]).select(
         "product_id", "gtin", "selling_channel", "available", "available_in_store", "update_time", "total_atp",
-        "load_ts", "message_type")
+        "load_ts", "message_type").distinct()
 
 
 @query(f"""SELECT product_id, gtin, selling_channel, message_type, max(update_time) AS update_time
