@@ -21,7 +21,8 @@ def fan_out(df: DataFrame, levels: Sequence[tuple[str, str]], keep_empty: bool =
 
 
 def zip_rows(df: DataFrame, keep: Sequence[Column | str], **arrays: str) -> DataFrame:
-    """One row per position of several arrays; a shorter array gives nulls."""
+    """One row per position of several arrays; a shorter array gives nulls, and a row
+    that lacks one of the arrays altogether gives no rows."""
     zipped = F.arrays_zip(*[F.col(path).alias(name) for name, path in arrays.items()])
     return df.select(*keep, F.inline(zipped).alias(*arrays))
 
