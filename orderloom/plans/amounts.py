@@ -98,14 +98,12 @@ def line_amounts(first_rows: DataFrame, current_for_returns: bool = False, keep:
     return with_totals(rows)
 
 
-def order_amounts(first_rows: DataFrame) -> DataFrame:
-    """One row per order: absolute values of the summed line amounts."""
-    sums = first_rows.groupBy(*ORDER_KEY).agg(
-        *[F.abs(F.sum(c)).alias(f"{a}_amount") for a, c in signed_amounts().items()],
-        F.abs(F.coalesce(F.sum("gift_card_value"), F.lit(0))).alias("gift_card_amount"),
-        F.abs(F.coalesce(F.sum("line_total"), F.lit(0))).alias("current_line_total"),
-        F.abs(F.coalesce(F.sum("sub_total"), F.lit(0))).alias("current_sub_total"))
-    return with_totals(sums)
+def order_amounts() -> list[Column]:
+    """Aggregates over the lines of an order: absolute values of the summed amounts."""
+    return [*[F.abs(F.sum(c)).alias(f"{a}_amount") for a, c in signed_amounts().items()],
+            F.abs(F.coalesce(F.sum("gift_card_value"), F.lit(0))).alias("gift_card_amount"),
+            F.abs(F.coalesce(F.sum("line_total"), F.lit(0))).alias("current_line_total"),
+            F.abs(F.coalesce(F.sum("sub_total"), F.lit(0))).alias("current_sub_total")]
 
 
 def with_order_totals(rows: DataFrame, totals: dict[str, Column]) -> DataFrame:

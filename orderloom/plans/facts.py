@@ -327,8 +327,7 @@ def fulfilled_lines(tables: Tables, releases: DataFrame) -> DataFrame:
 def backordered_lines(line_history: DataFrame) -> DataFrame:
     """Lines that were on backorder at any time."""
     rows = line_history.filter(status_or_null("max_fulfillment_status_id") == 1500)
-    return rows.select("org_id", "order_pk", F.col("pk").alias("order_line_pk")).distinct().withColumn(
-        "_backorder", F.lit(True))
+    return rows.select("org_id", F.col("pk").alias("order_line_pk")).distinct().withColumn("_backorder", F.lit(True))
 
 
 def order_line_fact(tables: Tables, original_process: str, profile: str | None = None,
@@ -382,9 +381,9 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
         table = statuses.select("_status", F.col("description").alias(name))
         rows = rows.join(table, status_or_null(column) == F.col("_status"), "left").drop("_status")
     for other in (charges, taxes, _cancelled(lost_charges, LINE_LINK), _cancelled(lost_taxes, LINE_LINK),
-                  returned, cancelled, more, notes):
+                  returned, cancelled, more, notes, backordered_lines(history)):
+        # one partitioning by line serves all of these joins
         rows = rows.join(other, list(LINE_LINK), "left")
-    rows = rows.join(backordered_lines(history), [*ORDER_LINK, "order_line_pk"], "left")
     rows = rows.join(selling, "item_id", "left")
 
     # a warehouse is known by its store number; the location type follows that number

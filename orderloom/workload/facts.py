@@ -799,8 +799,10 @@ def load_published_network(t: Inputs) -> DataFrame:
     """History append and upsert of the newest row per published key, in two loads."""
     table = SnapshotTable(t.spark, new_folder(t, "network"))
     history = new_folder(t, "network-history")
-    rows = V.publish_network(t["src_network"], t["products"])
-    middle = F.lit(datetime(1999, 1, 1)).cast("timestamp_ntz")
+    # as if loaded over twelve days, the second half first
+    loaded = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.month("load_ts"), F.lit(0), F.lit(0), F.lit(0))
+    rows = V.publish_network(t["src_network"].withColumn("load_ts", loaded), t["products"])
+    middle = F.lit(datetime(2024, 1, 7)).cast("timestamp_ntz")
     V.load_published(rows.filter(F.col("load_ts") >= middle), table, history, V.NETWORK_PUBLISH_KEY)
     V.load_published(rows.filter(F.col("load_ts") < middle), table, history, V.NETWORK_PUBLISH_KEY)
     if t.spark.read.parquet(history).count() != rows.count():
