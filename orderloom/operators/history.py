@@ -141,18 +141,19 @@ def scd2_close(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
 def _next_start_hot(df: DataFrame) -> DataFrame:
     """Start of the next version, without any window over a whole key.
 
-    Versions are reduced to distinct start times per key, windowed per key and day,
-    and each day is linked to the first start of the key's next day. Of versions that
+    Versions are reduced to distinct start times per key, windowed per key and minute,
+    and each minute is linked to the first start of the key's next one. Of versions that
     start together only the last is followed by the next start time.
     """
     key, start = "hash_sk", "start_ts"
     tie = F.struct("batch_id", "hash_seq_num")
-    steps = df.groupBy(key, start).agg(F.max(tie).alias("_last")).withColumn("_day", F.to_date(start))
-    heads = steps.groupBy(key, "_day").agg(F.min(start).alias("_head"))
-    heads = heads.withColumn("_next_head", F.lead("_head").over(Window.partitionBy(key).orderBy("_day")))
-    within = Window.partitionBy(key, "_day").orderBy(start)
+    steps = df.groupBy(key, start).agg(F.max(tie).alias("_last")).withColumn(
+        "_minute", F.date_trunc("minute", start))
+    heads = steps.groupBy(key, "_minute").agg(F.min(start).alias("_head"))
+    heads = heads.withColumn("_next_head", F.lead("_head").over(Window.partitionBy(key).orderBy("_minute")))
+    within = Window.partitionBy(key, "_minute").orderBy(start)
     linked = (steps.withColumn("_within", F.lead(start).over(within))
-              .join(heads.select(key, "_day", "_next_head"), [key, "_day"])
+              .join(heads.select(key, "_minute", "_next_head"), [key, "_minute"])
               .select(key, start, "_last", F.coalesce("_within", "_next_head").alias("_following")))
     joined = spread(df, linked, [key, start])
     return joined.withColumn("_next", F.when(tie < F.col("_last"), F.col(start)).otherwise(F.col("_following"))
