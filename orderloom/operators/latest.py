@@ -54,19 +54,25 @@ def with_first_values(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     return spread(df, first_values(df, keys, order, columns, prefix), keys)
 
 
-def spread(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join one row per key back to all rows of the key; null keys match null keys."""
+def spread(df: DataFrame, per_key: DataFrame, keys: Sequence[str], null_keys: bool = True) -> DataFrame:
+    """Join one row per key back to all rows of the key; null keys match null keys.
+
+    Where no key can be null, ``null_keys=False`` gives a plain equi-join, which shares
+    the partitioning of the aggregation and of neighbouring joins on the same keys.
+    """
+    if not null_keys:
+        return df.join(per_key, list(keys), "left")
     right = per_key.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                            *[c for c in per_key.columns if c not in keys])
     joined = df.join(right, same_key(df, right, {k: f"_k_{k}" for k in keys}), "left")
     return joined.drop(*[f"_k_{k}" for k in keys])
 
 
-def with_range(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def with_range(df: DataFrame, keys: Sequence[str], columns: Sequence[str], null_keys: bool = True) -> DataFrame:
     """Every row, with the lowest and highest value of its key for each column."""
     bounds = df.groupBy(*keys).agg(*[F.min(c).alias(f"min_{c}") for c in columns],
                                    *[F.max(c).alias(f"max_{c}") for c in columns])
-    return spread(df, bounds, keys)
+    return spread(df, bounds, keys, null_keys)
 
 
 def with_distinct_count(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:

@@ -109,7 +109,7 @@ def order_amounts() -> list[Column]:
 def with_order_totals(rows: DataFrame, totals: dict[str, Column]) -> DataFrame:
     """Every row, with absolute sums over all rows of its order alongside."""
     per_order = rows.groupBy(*ORDER_KEY).agg(*[F.abs(F.sum(c)).alias(n) for n, c in totals.items()])
-    return spread(rows, per_order, ORDER_KEY)
+    return spread(rows, per_order, ORDER_KEY, null_keys=False)
 
 
 def ordered_quantity() -> Column:
