@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import new_folder, table
 from orderloom.llm.exact_dedup import exact_groups
 from orderloom.llm.mixing import mix
+from orderloom.llm.packing import pack
+from orderloom.llm.token_files import token_round_trip
 from orderloom.llm.warc import archive_captures
 
+WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
@@ -44,6 +49,12 @@ FROM f
 """
 
 
+@register
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(table(spark, sf_dir, "documents"), new_folder(spark, "tokens"), WORD_BPE, spaced=False,
+                            end_id=2)
+
+
 @register
 def op8_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
@@ -85,3 +96,8 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@register
+def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), BYTE_BPE, spaced=True, end_id=0)
