@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import new_folder, table
 from orderloom.llm.exact_dedup import exact_groups
 from orderloom.llm.mixing import mix
+from orderloom.llm.ngram_join import near_duplicates
 from orderloom.llm.packing import pack
 from orderloom.llm.token_files import token_round_trip
 from orderloom.llm.warc import archive_captures
@@ -101,3 +102,8 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 @register
 def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, spaced=True, end_id=0)
+
+
+@register
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -70,7 +70,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, spaced: bool
         for kind, values in (("offsets", offsets.astype(OFFSET_TYPE)), ("docs", np.concatenate(ids))):
             with folder_fs.open_output_stream(f"{root}/{name}.{kind}") as out:
                 out.write(values.tobytes())
-        yield pd.DataFrame({"part": [part], "name": [name], "n_docs": [len(offsets) - 1],
+        yield pd.DataFrame({"part": [part], "name": pd.Series([name], dtype=object), "n_docs": [len(offsets) - 1],
                             "n_tokens": [int(offsets[-1])]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
