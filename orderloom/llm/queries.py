@@ -13,6 +13,7 @@ from orderloom.llm.exact_dedup import exact_groups
 from orderloom.llm.mixing import mix
 from orderloom.llm.ngram_join import near_duplicates
 from orderloom.llm.packing import pack
+from orderloom.llm.substring_dedup import drop_repeats
 from orderloom.llm.token_files import token_round_trip
 from orderloom.llm.warc import archive_captures
 
@@ -107,3 +108,8 @@ def op10_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"))
