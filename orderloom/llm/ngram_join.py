@@ -9,6 +9,9 @@ if their first shared token is frequent, all they share are, and prefixes longer
   class: of m + 1 shared tokens, two must be of one class. m is an eighth of the size, rounded down to a power of two,
   of the larger set; each set is indexed for every m that its partners can have.
 
+Each entry of the index says how many of its set's tokens can be shared if this key is the first one that a pair shares:
+those from it on, or all frequent ones. A pair meets only where that is enough for the threshold.
+
 Sets that meet in the index are verified on all their tokens. Which tokens count as frequent only decides the work
 and never the result.
 """
@@ -34,6 +37,7 @@ FREQUENT_LIMIT = 200_000  # the most frequent ones travel to every task: 1.8 MB
 FLUSH_POSTINGS = 1_000_000
 SMALL_RUN = 8  # sets under one key up to which all its pairs are candidates at once
 BUCKETS_PER_PARTITION = 4
+CLUSTER_TOKENS = 1_000_000  # 8 MB of token hashes
 
 
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
@@ -96,16 +100,16 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, n long, sign string, token long, copies long")
 
 
-def _prefix_keys(tokens: np.ndarray, classes: np.ndarray, least: tuple[int, int]) -> np.ndarray:
-    """The index keys of one set; ``classes`` is 0 for rare tokens and grows with frequency."""
+def _prefix_keys(tokens: np.ndarray, classes: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The index keys of one set, and for each how many tokens can be shared; ``classes`` is 0 for rare tokens and
+    grows with frequency."""
     num, den = least
     n = len(tokens)
     prefix = n - -(-num * n // den) + 1
     frequent = np.flatnonzero(classes)
     rare = n - len(frequent)
-    if not len(frequent):
-        return tokens[:prefix]
-    keys = [np.delete(tokens, frequent)[:prefix]]
+    keys = [np.delete(tokens, frequent)[:prefix] if len(frequent) else tokens[:prefix]]
+    rest = [n - np.arange(len(keys[0]))]
     order = frequent[np.argsort(classes[frequent], kind="stable")]
     for level in range(n.bit_length(), (n * den // num).bit_length() + 1):
         m = max(1, 2 ** (level - 1) // 8)
@@ -119,31 +123,34 @@ def _prefix_keys(tokens: np.ndarray, classes: np.ndarray, least: tuple[int, int]
             same = group[gap:] == group[:-gap]
             pair = mixed(chosen[:-gap][same] + np.uint64(level)) ^ chosen[gap:][same]
             keys.append(mixed(pair))
-    return np.unique(np.concatenate(keys))
+            rest.append(np.full(len(pair), len(frequent)))
+    return np.concatenate(keys), np.concatenate(rest)
 
 
 def postings(docs: DataFrame, words: int, least: tuple[int, int], frequent: tuple[np.ndarray, np.ndarray],
              buckets: int) -> DataFrame:
-    """The index, as ``bucket`` and arrays of keys, ids and set sizes; equal sets of a task are indexed once."""
+    """The index, as ``bucket`` and arrays of keys, ids, set sizes and tokens to share; equal sets of a task are indexed once."""
     common = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, ranks = common.value
         seen: set[bytes] = set()
-        keys, owners, sizes, held = [], [], [], 0
+        keys, rests, owners, sizes, held = [], [], [], [], 0
 
         def flushed() -> pd.DataFrame:
             key = np.concatenate(keys)
             counts = [len(k) for k in keys]
             owner, size = np.repeat(np.array(owners, np.int64), counts), np.repeat(np.array(sizes, np.int32), counts)
+            rest = np.concatenate(rests).astype(np.int32)
             bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
-            key, owner, size, bucket = key[by], owner[by], size[by], bucket[by]
+            key, owner, size, rest, bucket = key[by], owner[by], size[by], rest[by], bucket[by]
             edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
             spans = list(zip(edges, edges[1:] + [len(key)]))
             return pd.DataFrame({"bucket": bucket[edges], "keys": [key[a:b].tobytes() for a, b in spans],
                                  "ids": [owner[a:b].tobytes() for a, b in spans],
-                                 "sizes": [size[a:b].tobytes() for a, b in spans]})
+                                 "sizes": [size[a:b].tobytes() for a, b in spans],
+                                 "rests": [rest[a:b].tobytes() for a, b in spans]})
 
         for batch in batches:
             for ids, sets in _blocks(batch, words):
@@ -159,37 +166,39 @@ def postings(docs: DataFrame, words: int, least: tuple[int, int], frequent: tupl
                         ranked = np.where(names[at] == tokens, ranks[at], 0)
                     else:
                         ranked = np.zeros(len(tokens), np.int8)
-                    own = _prefix_keys(tokens, ranked, least)
+                    own, rest = _prefix_keys(tokens, ranked, least)
                     keys.append(own)
+                    rests.append(rest)
                     owners.append(int(doc))
                     sizes.append(len(tokens))
                     held += len(own)
                     if held >= FLUSH_POSTINGS:
                         yield flushed()
-                        keys, owners, sizes, held = [], [], [], 0
+                        keys, rests, owners, sizes, held = [], [], [], [], 0
         if keys:
             yield flushed()
 
-    return docs.mapInPandas(run, "bucket long, keys binary, ids binary, sizes binary")
+    return docs.mapInPandas(run, "bucket long, keys binary, ids binary, sizes binary, rests binary")
 
 
 def meetings(index: DataFrame, least: tuple[int, int]) -> DataFrame:
     """Candidates from the index: ``key`` null and a pair ``a, b`` of ids; or, under a key with many sets, ``key``,
-    the id ``a`` and its size ``b``. Of the latter, neighbours in size and each with the smallest id are pairs too."""
+    the id ``a``, its size ``b`` and the tokens it can share, ``c``. Of the latter, neighbours in size and each with the smallest id are pairs too."""
     num, den = least
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         key = np.concatenate([np.frombuffer(x, np.uint64) for x in group["keys"]])
         ids = np.concatenate([np.frombuffer(x, np.int64) for x in group["ids"]])
         size = np.concatenate([np.frombuffer(x, np.int32) for x in group["sizes"]]).astype(np.int64)
+        rest = np.concatenate([np.frombuffer(x, np.int32) for x in group["rests"]]).astype(np.int64)
         by = np.lexsort((ids, size, key))
-        key, ids, size = key[by], ids[by], size[by]
+        key, ids, size, rest = key[by], ids[by], size[by], rest[by]
         # a set without another of fitting size under its key has no partner there; its neighbour is the nearest
         fits = (key[1:] == key[:-1]) & (size[1:] * num <= size[:-1] * den)
         alive = np.zeros(len(key), bool)
         alive[1:] |= fits
         alive[:-1] |= fits
-        key, ids, size = key[alive], ids[alive], size[alive]
+        key, ids, size, rest = key[alive], ids[alive], size[alive], rest[alive]
         edges = np.flatnonzero(np.diff(key, prepend=key[:1] ^ np.uint64(1)))
         length = np.diff(edges, append=len(key))
         run_of = np.repeat(np.arange(len(edges)), length)
@@ -199,6 +208,7 @@ def meetings(index: DataFrame, least: tuple[int, int]) -> DataFrame:
         def add(x: np.ndarray, y: np.ndarray) -> None:
             ok = size[x] * num <= size[y] * den
             ok &= size[y] * num <= size[x] * den
+            ok &= np.minimum(rest[x], rest[y]) * (num + den) >= num * (size[x] + size[y])
             a, b = ids[x[ok]], ids[y[ok]]
             found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b])
 
@@ -216,36 +226,77 @@ def meetings(index: DataFrame, least: tuple[int, int]) -> DataFrame:
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pd.DataFrame({
             "key": pd.array([None] * len(pairs) + key[big].view(np.int64).tolist(), dtype="Int64"),
-            "a": np.concatenate([pairs[:, 0], ids[big]]), "b": np.concatenate([pairs[:, 1], size[big]])})
+            "a": np.concatenate([pairs[:, 0], ids[big]]), "b": np.concatenate([pairs[:, 1], size[big]]),
+            "c": np.concatenate([np.zeros(len(pairs), np.int64), rest[big]])})
 
-    return index.groupBy("bucket").applyInPandas(run, "key long, a long, b long")
+    return index.groupBy("bucket").applyInPandas(run, "key long, a long, b long, c long")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
-    """The ``pairs`` (a, b) of documents whose sets reach the threshold."""
+def _similar(x: np.ndarray, y: np.ndarray, least: tuple[int, int]) -> bool:
     num, den = least
+    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    shared = int((x[at] == y).sum())
+    return shared > 0 and den * shared >= num * (len(x) + len(y) - shared)
+
+
+def verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
+    """The ``pairs`` (a < b) of documents whose sets reach the threshold.
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Documents that pairs join make a cluster. A cluster of up to CLUSTER_TOKENS tokens travels to one task, every
+    text once; each document is compared there with its own partners. In larger clusters the two sets of each pair
+    meet by two joins, so no task holds such a cluster.
+    """
+    clusters = components(pairs)
+    clusters = staged(clusters.join(sizes, clusters["id"] == sizes["doc_id"]).groupBy("id", "label").agg(
+        F.max("n").alias("n")), "clusters")
+    large = clusters.groupBy("label").agg(F.sum("n").alias("n")).filter(F.col("n") > CLUSTER_TOKENS).select("label")
+    large_ids = staged(clusters.join(large, "label", "left_semi").select("id"), "large-clusters")
+
+    small = pairs.join(large_ids.withColumnRenamed("id", "a"), "a", "left_anti")
+    partners = small.groupBy("b").agg(F.collect_list("a").alias("partners"))
+    wanted = staged(clusters.join(large_ids, "id", "left_anti")
+                    .join(partners, F.col("id") == F.col("b"), "left").select("id", "label", "partners"), "wanted")
+
+    def compare_cluster(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        label, held = None, {}
+        for batch in batches:
+            at, a, b = 0, [], []
+            labels, partners = batch["label"].tolist(), batch["partners"].tolist()
+            for ids, sets in _blocks(batch, words):
+                for doc, own in zip(ids, sets):
+                    if labels[at] != label:
+                        label, held = labels[at], {}
+                    # the smaller ids of the cluster have come before
+                    for other in partners[at] if partners[at] is not None else ():
+                        if any(_similar(x, own, least) for x in held.get(other, ())):
+                            a.append(other)
+                            b.append(doc)
+                    held.setdefault(doc, []).append(own)
+                    at += 1
+            yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    near = (docs.join(wanted, F.col("doc_id") == F.col("id")).select("label", "doc_id", "text", "partners")
+            .repartition("label").sortWithinPartitions("label", "doc_id").mapInPandas(compare_cluster, "a long, b long"))
+
+    def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for ids, found in _blocks(batch, words):
                 yield pd.DataFrame({"id": ids, "tokens": [s.tobytes() for s in found]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hit = []
-            for x, y in zip(batch["x"], batch["y"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                shared = int((x[at] == y).sum())
-                hit.append(shared > 0 and den * shared >= num * (len(x) + len(y) - shared))
+            hit = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), least)
+                   for x, y in zip(batch["x"], batch["y"])]
             yield batch.loc[hit, ["a", "b"]]
 
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "_id")
-    own = docs.join(wanted, F.col("doc_id") == F.col("_id"), "left_semi").mapInPandas(sets, "id long, tokens binary")
-    own = staged(own, "candidate-sets")
-    x = own.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-    y = own.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(x, "a").join(y, "b").mapInPandas(compare, "a long, b long").distinct()
+    if large_ids.isEmpty():
+        return near.distinct()
+    sets = staged(docs.join(large_ids, F.col("doc_id") == F.col("id"), "left_semi")
+                  .mapInPandas(sets_of, "id long, tokens binary"), "sets-of-large-clusters")
+    x = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
+    y = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    far = pairs.join(x, "a").join(y, "b").mapInPandas(compare, "a long, b long")
+    return near.union(far).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (75, 100), id_col: str = "doc_id",
@@ -286,26 +337,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (7
     def ordered(df: DataFrame) -> DataFrame:
         return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
 
+    sizes = rows.select("doc_id", "n")
     pairs = found.filter("key is null").select("a", "b").distinct()
     tried = staged(ordered(to_rep(to_rep(pairs, "a"), "b")), "pairs")
-    links = staged(verified(docs, tried, words, least), "verified")
+    links = staged(verified(docs, tried, sizes, words, least), "verified")
 
     # under keys with many sets, pairs that links have not joined yet are compared too
     crowd = to_rep(found.filter("key is not null").withColumnRenamed("b", "n"), "a").distinct()
     labels = components(links)
     crowd = staged(crowd.join(labels, F.col("a") == F.col("id"), "left").select(
-        "key", "a", "n", F.coalesce("label", "a").alias("label")), "crowds")
+        "key", "a", "n", "c", F.coalesce("label", "a").alias("label")), "crowds")
     apart = (crowd.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
              .filter("lo <> hi").select("key"))
     crowd = staged(crowd.join(apart, "key", "left_semi"), "crowds-apart")
     if not crowd.isEmpty():
-        other = crowd.select("key", F.col("a").alias("b"), F.col("n").alias("n2"), F.col("label").alias("label2"))
+        other = crowd.select("key", F.col("a").alias("b"), F.col("n").alias("n2"), F.col("c").alias("c2"),
+                             F.col("label").alias("label2"))
         num, den = least
         more = ordered(crowd.join(other, "key").filter(
             (F.col("label") < F.col("label2")) & (F.col("n") * num <= F.col("n2") * den)
-            & (F.col("n2") * num <= F.col("n") * den)).select("a", "b").distinct())
+            & (F.col("n2") * num <= F.col("n") * den)
+            & (F.least("c", "c2") * (num + den) >= (F.col("n") + F.col("n2")) * num)).select("a", "b").distinct())
         more = staged(more.join(tried, ["a", "b"], "left_anti"), "more-pairs")
-        links = staged(links.union(verified(docs, more, words, least)), "all-verified")
+        links = staged(links.union(verified(docs, more, sizes, words, least)), "all-verified")
         labels = components(links)
     named = groups.join(labels, F.col("rep") == F.col("id"), "left").select(
         "sign", "size", F.coalesce("label", "rep").alias("component_id"))

@@ -60,7 +60,7 @@ def run_hashes(words: np.ndarray, k: int) -> np.ndarray:
 def whole_hash(words: np.ndarray) -> np.uint64:
     """One hash of a sequence of fewer words than RUN_FACTORS, apart from those of longer and shorter ones."""
     n = len(words)
-    return mixed((words * RUN_FACTORS[-n:]).sum(dtype=np.uint64, keepdims=True) + STEP * np.uint64(n))[0]
+    return mixed((words * RUN_FACTORS[-n:]).sum(dtype=np.uint64, keepdims=True) ^ np.array([n], np.uint64))[0]
 
 
 def byte_blocks(texts: list[bytes]) -> Iterator[slice]:
