@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import new_folder, table
 from orderloom.llm.exact_dedup import exact_groups
 from orderloom.llm.mixing import mix
+from orderloom.llm.neighbours import nearest
 from orderloom.llm.ngram_join import near_duplicates
 from orderloom.llm.packing import pack
 from orderloom.llm.substring_dedup import drop_repeats
@@ -113,3 +114,8 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
