@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import new_folder, table
 from orderloom.llm.exact_dedup import exact_groups
+from orderloom.llm.language import identify
 from orderloom.llm.mixing import mix
 from orderloom.llm.neighbours import nearest
 from orderloom.llm.ngram_join import near_duplicates
@@ -119,3 +120,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@register
+def op5_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
