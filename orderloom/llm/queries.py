@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import new_folder, table
 from orderloom.llm.exact_dedup import exact_groups
+from orderloom.llm.extraction import extract
 from orderloom.llm.language import identify
 from orderloom.llm.mixing import mix
 from orderloom.llm.neighbours import nearest
@@ -125,3 +126,8 @@ def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_boosted_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
