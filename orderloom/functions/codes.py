@@ -91,13 +91,32 @@ CARD_CLASS = {
 GIFT_CARD_PRODUCTS = {"ECARD20": "2138264", "ECARD21": "2138265", "ECARD22": "2138266",
                       "ECARD45": "20", "ECARD77": "2000003"}
 
-# First part of the published channel name, by organisation.
-CHANNEL_STEMS = {"FL-US": "FL_US", "FL-CA": "FL_CA", "CH-US": "CHP_US", "CH-CA": "CHP_CA",
-                 "KFL-US": "KIDS_US", "KFL-CA": "KIDS_CA"}
-# Network feeds publish pickup channels of these organisations as retail.
-RETAIL_PICKUP_ORGS = ("FL-US", "FL-CA", "CH-US", "KFL-US")
-# Location feeds publish pickup channels of these organisations as e-commerce.
-ECOMM_PICKUP_ORGS = ("FL-US", "FL-CA", "CH-US", "CH-CA", "KFL-US")
+# Published name of a selling channel, by its name without spaces and in capitals.
+NETWORK_CHANNELS = {
+    "FL-US-SHIPTOHOME": "FL_US_ECOMM",
+    "FL-US-BOPIS": "FL_US_RETAIL",
+    "FL-CA-SHIPTOHOME": "FL_CA_ECOMM",
+    "FL-CA-BOPIS": "FL_CA_RETAIL",
+    "CH-US-SHIPTOHOME": "CHP_US_ECOMM",
+    "CH-US-BOPIS": "CHP_US_RETAIL",
+    "CH-CA-SHIPTOHOME": "CHP_CA_ECOMM",
+    "KFL-US-SHIPTOHOME": "KIDS_US_ECOMM",
+    "KFL-US-BOPIS": "KIDS_US_RETAIL",
+    "KFL-CA-SHIPTOHOME": "KIDS_CA_ECOMM",
+}
+LOCATION_CHANNELS = {
+    "FL-US-SHIPTOHOME": "FL_US_ECOMM",
+    "FL-US-BOPIS": "FL_US_ECOMM",
+    "FL-CA-SHIPTOHOME": "FL_CA_ECOMM",
+    "FL-CA-BOPIS": "FL_CA_ECOMM",
+    "CH-US-SHIPTOHOME": "CHP_US_ECOMM",
+    "CH-US-BOPIS": "CHP_US_ECOMM",
+    "CH-CA-SHIPTOHOME": "CHP_CA_ECOMM",
+    "CH-CA-BOPIS": "CHP_CA_ECOMM",
+    "KFL-US-SHIPTOHOME": "KIDS_US_ECOMM",
+    "KFL-US-BOPIS": "KIDS_US_ECOMM",
+    "KFL-CA-SHIPTOHOME": "KIDS_CA_ECOMM",
+}
 
 # Return reason texts by reason code.
 RETURN_REASONS = {
@@ -140,15 +159,50 @@ RETURN_REASONS = {
     "WT": ("DAMAGED IN TRANSIT (THROW IN TRASH)",),
     "XX": ("XSTORE RETURN",),
 }
-# Reason numbers run on from a start number per organisation, one per code; some
-# numbers in the run are not in use (None).
-REASON_RUN = ("BW", "DI", "DQ", "EQ", None, "IS", None, "LS", "LP", "ND", "PA", "PB", "PC", "PI", "PN", "PQ", "PS",
-              "PU", "PW", "SN", "SY", "TB", "TN", "TS", "TW", "U", "UC", "US", "WD", "WI", "WO", "WT")
-REASON_START = {"KFL-US": 262, "FL-US": 294, "FL-CA": 326, "CH-US": 390, "CH-CA": 548}
+# Reason number by reason code and organisation.
+REASON_NUMBERS = {
+    "BW": {"KFL-US": 262, "FL-US": 294, "FL-CA": 326, "CH-US": 390, "CH-CA": 548},
+    "DI": {"KFL-US": 263, "FL-US": 295, "FL-CA": 327, "CH-US": 391, "CH-CA": 549},
+    "DQ": {"KFL-US": 264, "FL-US": 296, "FL-CA": 328, "CH-US": 392, "CH-CA": 550},
+    "EQ": {"KFL-US": 265, "FL-US": 297, "FL-CA": 329, "CH-US": 393, "CH-CA": 551},
+    "IS": {"KFL-US": 267, "FL-US": 299, "FL-CA": 331, "CH-US": 395, "CH-CA": 553},
+    "LS": {"KFL-US": 269, "FL-US": 301, "FL-CA": 333, "CH-US": 397, "CH-CA": 555},
+    "LP": {"KFL-US": 270, "FL-US": 302, "FL-CA": 334, "CH-US": 398, "CH-CA": 556},
+    "ND": {"KFL-US": 271, "FL-US": 303, "FL-CA": 335, "CH-US": 399, "CH-CA": 557},
+    "PA": {"KFL-US": 272, "FL-US": 304, "FL-CA": 336, "CH-US": 400, "CH-CA": 558},
+    "PB": {"KFL-US": 273, "FL-US": 305, "FL-CA": 337, "CH-US": 401, "CH-CA": 559},
+    "PC": {"KFL-US": 274, "FL-US": 306, "FL-CA": 338, "CH-US": 402, "CH-CA": 560},
+    "PI": {"KFL-US": 275, "FL-US": 307, "FL-CA": 339, "CH-US": 403, "CH-CA": 561},
+    "PN": {"KFL-US": 276, "FL-US": 308, "FL-CA": 340, "CH-US": 404, "CH-CA": 562},
+    "PQ": {"KFL-US": 277, "FL-US": 309, "FL-CA": 341, "CH-US": 405, "CH-CA": 563},
+    "PS": {"KFL-US": 278, "FL-US": 310, "FL-CA": 342, "CH-US": 406, "CH-CA": 564},
+    "PU": {"KFL-US": 279, "FL-US": 311, "FL-CA": 343, "CH-US": 407, "CH-CA": 565},
+    "PW": {"KFL-US": 280, "FL-US": 312, "FL-CA": 344, "CH-US": 408, "CH-CA": 566},
+    "SN": {"KFL-US": 281, "FL-US": 313, "FL-CA": 345, "CH-US": 409, "CH-CA": 567},
+    "SY": {"KFL-US": 282, "FL-US": 314, "FL-CA": 346, "CH-US": 410, "CH-CA": 568},
+    "TB": {"KFL-US": 283, "FL-US": 315, "FL-CA": 347, "CH-US": 411, "CH-CA": 569},
+    "TN": {"KFL-US": 284, "FL-US": 316, "FL-CA": 348, "CH-US": 412, "CH-CA": 570},
+    "TS": {"KFL-US": 285, "FL-US": 317, "FL-CA": 349, "CH-US": 413, "CH-CA": 571},
+    "TW": {"KFL-US": 286, "FL-US": 318, "FL-CA": 350, "CH-US": 414, "CH-CA": 572},
+    "U": {"KFL-US": 287, "FL-US": 319, "FL-CA": 351, "CH-US": 415, "CH-CA": 573},
+    "UC": {"KFL-US": 288, "FL-US": 320, "FL-CA": 352, "CH-US": 416, "CH-CA": 574},
+    "US": {"KFL-US": 289, "FL-US": 321, "FL-CA": 353, "CH-US": 417, "CH-CA": 575},
+    "WD": {"KFL-US": 290, "FL-US": 322, "FL-CA": 354, "CH-US": 418, "CH-CA": 576},
+    "WI": {"KFL-US": 291, "FL-US": 323, "FL-CA": 355, "CH-US": 419, "CH-CA": 577},
+    "WO": {"KFL-US": 292, "FL-US": 324, "FL-CA": 356, "CH-US": 420, "CH-CA": 578},
+    "WT": {"KFL-US": 293, "FL-US": 325, "FL-CA": 357, "CH-US": 421, "CH-CA": 579},
+    "XX": {"FL-US": 762},
+}
+# Store reasons of one organisation, by the three digits that their text begins with.
+STORE_REASON_ORG = "FL-US"
+STORE_REASON_NUMBERS = {
+    "501": 763, "502": 764, "503": 765, "504": 766, "505": 767, "506": 768, "507": 769, "508": 770,
+    "509": 771, "510": 772, "511": 773, "512": 774, "513": 775, "514": 776, "515": 777, "521": 778,
+    "522": 779, "523": 780, "525": 781, "526": 782, "527": 783, "529": 784, "534": 785, "539": 786,
+    "999": 787,
+}
+# This text has a code and no number.
 UNNUMBERED_REASON = "WRONG COLOR"
-# Store reasons of one organisation carry their own three-digit code; numbers run on from a start.
-STORE_REASON_ORG, STORE_REASON_START, STORE_RETURN_NUMBER = "FL-US", 763, 762
-STORE_REASONS = (*range(501, 516), *range(521, 524), *range(525, 528), 529, 534, 539, 999)
 
 
 def lookup(c: Column | str, table: dict, default: Column | None = None) -> Column:
@@ -234,29 +288,24 @@ def product_banner(org: Column | str) -> Column:
     return F.when(col(org).isin(*CANADA_ORGS), F.lit(CANADA_BANNER)).otherwise(F.lit(US_BANNER))
 
 
-def published_channel(channel: Column | str, pickup_orgs: tuple[str, ...], pickup_kind: str) -> Column:
+def published_channel(channel: Column | str, names: dict[str, str]) -> Column:
     """Selling channel such as ``FL-US - ShipToHome`` as the published name; others unchanged."""
     channel = col(channel)
-    flat = F.upper(F.replace(channel, F.lit(" "), F.lit("")))
-    names = {f"{org}-SHIPTOHOME": f"{stem}_ECOMM" for org, stem in CHANNEL_STEMS.items()}
-    names |= {f"{org}-BOPIS": f"{CHANNEL_STEMS[org]}_{pickup_kind}" for org in pickup_orgs}
-    return lookup(flat, names, channel)
+    return lookup(F.upper(F.replace(channel, F.lit(" "), F.lit(""))), names, channel)
 
 
 def return_reason_code(org: Column | str, reason: Column | str) -> Column:
     org, reason = F.trim(col(org)), F.upper(col(reason))
     texts = {text: code for code, group in RETURN_REASONS.items() for text in group}
     store = F.regexp_extract(reason, "^([0-9]{3})-", 1)
-    known = store.isin(*[str(n) for n in STORE_REASONS])
-    return F.when(org.isin(*REASON_START),
+    known = store.isin(*STORE_REASON_NUMBERS)
+    return F.when(org.isin(*REASON_NUMBERS["BW"]),
                   lookup(reason, texts, F.when((org == STORE_REASON_ORG) & known, store)))
 
 
 def return_reason_number(org: Column | str, reason: Column | str) -> Column:
     org, reason = F.trim(col(org)), F.upper(col(reason))
-    place = {code: i for i, code in enumerate(REASON_RUN) if code}
     code = return_reason_code(org, reason)
-    numbered = F.when(reason != UNNUMBERED_REASON, lookup(code, place) + lookup(org, REASON_START))
-    store = lookup(code, {str(n): STORE_REASON_START + i for i, n in enumerate(STORE_REASONS)})
-    counter = F.when((code == "XX") & (org == STORE_REASON_ORG), F.lit(STORE_RETURN_NUMBER))
-    return F.coalesce(numbered, store, counter)
+    numbers = {f"{code} {o}": n for code, by_org in REASON_NUMBERS.items() for o, n in by_org.items()}
+    numbered = F.when(reason != UNNUMBERED_REASON, lookup(F.concat_ws(" ", code, org), numbers))
+    return F.coalesce(numbered, lookup(code, STORE_REASON_NUMBERS))

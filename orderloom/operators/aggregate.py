@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.text import col
 from orderloom.operators.latest import with_distinct_count
-from orderloom.operators.skew import GROUP_ROWS, with_part
 
 
 def sum_if(condition: Column, value: Column | str) -> Column:
@@ -27,61 +26,51 @@ def newest_if(value: Column | str, order: Column | str, condition: Column | None
     return F.max_by(F.when(condition, col(value)), F.when(condition, col(order)))
 
 
-def absolute_total(*amounts: Column | str) -> Column:
-    """Absolute value of a sum in which a missing amount counts as zero."""
-    total = sum((F.coalesce(col(a), F.lit(0)) for a in amounts[1:]), F.coalesce(col(amounts[0]), F.lit(0)))
-    return F.abs(total)
+def pack_ordered(df: DataFrame, keys: Sequence[str], order: Mapping[str, Column], item: Column,
+                 name: str) -> DataFrame:
+    """One row per key with one array of its items, in ascending order of the ``order`` values.
 
-
-def pack_ordered(df: DataFrame, keys: Sequence[str], order: Mapping[str, Column], item: Column, name: str,
-                 group_rows: int = GROUP_ROWS, part: str = "part", sized_by: DataFrame | None = None) -> DataFrame:
-    """One array of items per key, in ascending order of the ``order`` values.
-
-    A null item is left out. A group above ``group_rows`` is given out as several
-    rows, numbered in ``part`` and each sorted, so that no task holds it whole.
-    ``sized_by`` is a table, cheaper to scan, whose groups are at least as large.
+    A null item is left out. The array is one value, so the data model must bound it: the
+    payments, charges, notes or lines of one order.
     """
     entry = F.struct(*[c.alias(n) for n, c in order.items()], item.alias("_item"))
     rows = df.select(*keys, entry.alias("_entry")).filter(F.col("_entry._item").isNotNull())
-    rows = with_part(rows, keys, ["_entry"], group_rows, "_part", sized_by)
-    packed = rows.groupBy(*keys, "_part").agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
-    return packed.select(*keys, F.col("_part").alias(part), F.transform("_entries", lambda e: e["_item"]).alias(name))
+    packed = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
+    return packed.select(*keys, F.transform("_entries", lambda e: e["_item"]).alias(name))
 
 
-def distinct_text(df: DataFrame, keys: Sequence[str], value: str, name: str,
-                  sized_by: DataFrame | None = None) -> DataFrame:
+def distinct_text(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """The distinct values of each key as one sorted JSON array text.
 
     Duplicates go before the values are collected.
     """
     distinct = df.select(*keys, value).filter(F.col(value).isNotNull()).distinct()
-    packed = pack_ordered(distinct, keys, {"_v": F.col(value)}, F.col(value), "_values", sized_by=sized_by)
-    return packed.select(*keys, "part", F.to_json("_values").alias(name))
+    packed = pack_ordered(distinct, keys, {"_v": F.col(value)}, F.col(value), "_values")
+    return packed.select(*keys, F.to_json("_values").alias(name))
 
 
-def pivot_notes(df: DataFrame, keys: Sequence[str], kind: Column, text: Column, name: str,
-                sized_by: DataFrame | None = None) -> DataFrame:
+def pivot_notes(df: DataFrame, keys: Sequence[str], kind: Column, text: Column, name: str) -> DataFrame:
     """Notes per key as a JSON array holding one object: note kind to its highest text."""
     notes = (df.select(*keys, kind.alias("_kind"), text.alias("_text"))
              .filter(F.col("_kind").isNotNull() & F.col("_text").isNotNull())
              .groupBy(*keys, "_kind").agg(F.max("_text").alias("_text")))
-    packed = pack_ordered(notes, keys, {"_kind": F.col("_kind")}, F.struct("_kind", "_text"), "_notes",
-                          sized_by=sized_by)
-    return packed.select(*keys, "part", F.to_json(F.array(F.map_from_entries("_notes"))).alias(name))
+    packed = pack_ordered(notes, keys, {"_kind": F.col("_kind")}, F.struct("_kind", "_text"), "_notes")
+    return packed.select(*keys, F.to_json(F.array(F.map_from_entries("_notes"))).alias(name))
 
 
-def union_arrays(df: DataFrame, keys: Sequence[str], array: str, name: str,
-                 sized_by: DataFrame | None = None) -> DataFrame:
+def union_arrays(df: DataFrame, keys: Sequence[str], array: str, name: str) -> DataFrame:
     """Multiset union of the arrays of each key: every value as often as in the array
-    that holds it most often. Sorted by value."""
-    counted = df.select(*keys, F.explode(F.transform(
-        F.array_distinct(array),
-        lambda v: F.struct(v.alias("v"), F.size(F.filter(F.col(array), lambda x: x.eqNullSafe(v))).alias("n")))
-    ).alias("_e"))
-    most = counted.groupBy(*keys, F.col("_e.v").alias("_v")).agg(F.max("_e.n").alias("_n"))
-    packed = pack_ordered(most, keys, {"_v": F.col("_v")}, F.struct("_v", "_n"), "_runs", sized_by=sized_by)
-    return packed.select(*keys, "part",
-                         F.flatten(F.transform("_runs", lambda e: F.array_repeat(e["_v"], e["_n"]))).alias(name))
+    that holds it most often. Sorted by value.
+
+    Every array is taken apart once; the counts of a row's values are added up before
+    the shuffle, where all of them still are in one task.
+    """
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    values = numbered.select(*keys, "_row", F.explode(array).alias("_v"))
+    counted = values.groupBy(*keys, "_row", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    most = counted.groupBy(*keys, "_v").agg(F.max("_n").alias("_n"))
+    packed = pack_ordered(most, keys, {"_v": F.col("_v")}, F.struct("_v", "_n"), "_runs")
+    return packed.select(*keys, F.flatten(F.transform("_runs", lambda e: F.array_repeat(e["_v"], e["_n"].cast("int")))).alias(name))
 
 
 def single_transaction_amount(df: DataFrame, keys: Sequence[str], transaction: Column, line_total: str,

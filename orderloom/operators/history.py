@@ -13,9 +13,8 @@ from orderloom.functions.keys import hash_key
 from orderloom.functions.text import blank_to_null, col
 from orderloom.operators.joins import drop_matching_null_safe, same_key
 from orderloom.operators.latest import latest_per_key, newest, spread
-from orderloom.operators.merge import upsert
-from orderloom.operators.skew import GROUP_ROWS, split_hot
-from orderloom.sources.tables import append_partitioned, read_increment, read_table
+from orderloom.operators.merge import upsert_newer
+from orderloom.sources.tables import append_partitioned, read_increment, read_table, table_exists
 
 DELETE_EVENT = "incrementaldeleterows"
 # Change order within a key: seen last, then journal position, then load time.
@@ -45,20 +44,33 @@ class JournalSpec:
 
 def archive_changes(spark: SparkSession, specs: Sequence[JournalSpec], low_water: Mapping[str, datetime],
                     lookback: timedelta = timedelta(0)) -> None:
-    """Append the new rows of every journal to its archive, by load date."""
+    """Append the new rows of every journal to its archive, by load date.
+
+    Rows at the watermark itself are read again, as more of them may have come since; those that the archive
+    already holds, with the same key and change order, are left out. So a repeated run adds nothing.
+    """
     for spec in specs:
-        rows = read_increment(read_table(spark, spec.source), spec.loaded_at,
-                              low_water.get(spec.source, datetime(1900, 1, 1)), lookback, inclusive=False)
-        append_partitioned(rows, spec.target, {"load_date": F.to_date(spec.loaded_at)})
+        low = low_water.get(spec.source, datetime(1900, 1, 1))
+        rows = read_increment(read_table(spark, spec.source), spec.loaded_at, low, lookback, inclusive=True)
+        rows = rows.withColumn("load_date", F.to_date(spec.loaded_at))
+        same = [c for c in dict.fromkeys([*spec.keys, spec.loaded_at, *CHANGE_ORDER]) if c in rows.columns]
+        if table_exists(spark, spec.target):
+            # only the archive's dates from the watermark on are read
+            known = spark.read.parquet(spec.target).filter(F.col("load_date") >= F.lit((low - lookback).date()))
+            rows = drop_matching_null_safe(rows, known, same)
+        append_partitioned(rows, spec.target, ["load_date"])
 
 
 def current_state(target: DataFrame, changes: DataFrame, keys: Sequence[str],
-                  order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
-    """Upsert the newest change per key; keys whose newest change is a delete go."""
-    last = latest_per_key(changes, keys, newest(*order))
-    gone = last.filter(F.lower("event_type") == DELETE_EVENT)
-    merged = upsert(target, not_deleted(last), keys)
-    return drop_matching_null_safe(merged, gone, keys)
+                  order: Sequence[str] = CHANGE_ORDER, with_deleted: bool = False) -> DataFrame:
+    """Upsert the newest change per key, in the order of changes and not of their arrival: a change that comes late
+    does not replace a newer state. Keys whose newest change is a delete go.
+
+    A late change can only be told from a return of its key while the delete is known: with ``with_deleted`` the
+    deleting changes stay in the result, which is then the target of the next run, until they are too old to matter.
+    """
+    merged = upsert_newer(target, changes, keys, order[0], order[1:])
+    return merged if with_deleted else not_deleted(merged)
 
 
 def state_history(archive: DataFrame, keys: Sequence[str], states: Sequence[str],
@@ -99,67 +111,58 @@ def scd2_merge(target: DataFrame, staged: DataFrame,
                ) -> DataFrame:
     """Merge staged versions and close the ones they replace.
 
-    A staged row with the context of the key's current version only refreshes it. Any
-    other context opens a version, also one the key had before. The staged rows need
-    one row per key; of several, the newest is taken.
+    A key may have several staged versions. One with the context of the version before it, or one that is there
+    already (same key, context and start), only refreshes that version. Any other context opens a version, also
+    one the key had before, and one that a delete has ended. Of staged versions that start together the last
+    counts. Versions may come late or twice; the result is the same. Keys without staged versions are passed
+    through and not computed anew.
     """
-    staged = latest_per_key(staged, ["hash_sk"], newest("start_ts", "batch_id", "hash_seq_num"))
-    closed = target.filter(~F.col("active_flg").eqNullSafe("Y"))
-    active = target.filter(F.col("active_flg") == "Y")
-    # one shuffle on the key serves the refresh and the insert test
-    right = staged.select(*[F.col(c).alias(f"_s_{c}") for c in staged.columns], F.lit(True).alias("_staged"))
-    joined = active.withColumn("_active", F.lit(True)).join(
-        right, (F.col("hash_sk") == F.col("_s_hash_sk")) & (F.col("hash_seq_num") == F.col("_s_hash_seq_num")),
-        "full")
-    columns = target.columns
+    columns, key = target.columns, "hash_sk"
+    order = ["start_ts", "batch_id", "hash_seq_num"]
+    staged = latest_per_key(staged, [key, "start_ts"], newest("batch_id", "hash_seq_num")).select(*columns)
+    touched = staged.select(key).distinct()
+    rest = target.join(touched, key, "left_anti")
+    mine = target.join(touched, key, "left_semi")
+
+    # staged again: the version is there, with the same start
+    same = ["hash_sk", "hash_seq_num", "start_ts"]
     fixed = {*keep, "hash_sk", "hash_seq_num"}
-    refreshed = F.col("_active") & F.col("_staged").isNotNull()
-    result = joined.select(*[
-        F.when(F.col("_active").isNull() | (refreshed if c not in fixed else F.lit(False)), F.col(f"_s_{c}"))
-        .otherwise(F.col(c)).alias(c) for c in columns])
-    return scd2_close(closed.unionByName(result))
-
-
-def scd2_close(df: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+    again = staged.select(*[F.col(c).alias(f"_s_{c}") for c in columns])
+    joined = mine.join(again, same_key(mine, again, {c: f"_s_{c}" for c in same}), "left")
+    newer = F.col("_s_batch_id") >= F.col("batch_id")
+    mine = joined.select(*[F.when(newer, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c not in fixed
+                           else F.col(c) for c in columns])
+    fresh = drop_matching_null_safe(staged, mine, same)
+
+    # the rest in order: a staged row opens a version unless the one before it has its context and is not ended
+    by_key = Window.partitionBy(key).orderBy("start_ts", "_new", "batch_id", "hash_seq_num")
+    rows = mine.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
+    before = F.lag("hash_seq_num").over(by_key)
+    ended = F.lag(F.when(F.col("_new") == 0, F.col("end_ts"))).over(by_key)
+    refreshes = (F.col("_new") == 1) & before.eqNullSafe(F.col("hash_seq_num")) & (
+        ended.isNull() | (ended > F.col("start_ts")))
+    rows = rows.withColumn("_opens", F.when(F.coalesce(refreshes, F.lit(False)), 0).otherwise(1))
+    rows = rows.withColumn("_version", F.sum("_opens").over(by_key))
+    last = F.struct("start_ts", "_new", "batch_id", "hash_seq_num", *[c for c in columns if c not in order])
+    merged = rows.groupBy(key, "_version").agg(
+        F.min(F.struct("_new", "start_ts", "batch_id", "hash_seq_num", *[c for c in keep if c not in order]))
+        .alias("_first"), F.max(last).alias("_last"))
+    versions = merged.select(*[F.col(key) if c == key else F.col(f"_first.{c}").alias(c) if c in fixed
+                               else F.col(f"_last.{c}").alias(c) for c in columns])
+    return rest.unionByName(scd2_close(versions))
+
+
+def scd2_close(df: DataFrame) -> DataFrame:
     """End every version where the next one of its key starts; the last stays active,
-    unless a delete has ended it.
-
-    Ordinary keys take one window. A key with more versions than a task should hold
-    is closed by ``_next_start_hot`` instead, with the same result.
-    """
-    calm, hot = split_hot(df, ["hash_sk"], group_rows)
+    unless a delete has ended it. The window spills beyond a task's memory."""
     order = Window.partitionBy("hash_sk").orderBy("start_ts", "batch_id", "hash_seq_num")
-    nexts = calm.withColumn("_next", F.lead("start_ts").over(order))
-    if hot is not None:
-        nexts = nexts.unionByName(_next_start_hot(hot))
+    nexts = df.withColumn("_next", F.lead("start_ts").over(order))
     # a version that a delete has ended keeps its earlier end
     ended = F.when(F.col("active_flg") == "N", F.col("end_ts"))
     return nexts.withColumn("end_ts", F.least(ended, "_next")).withColumn(
         "active_flg", F.when(F.col("end_ts").isNull(), "Y").otherwise("N")).drop("_next")
 
 
-def _next_start_hot(df: DataFrame) -> DataFrame:
-    """Start of the next version, without any window over a whole key.
-
-    Versions are reduced to distinct start times per key, windowed per key and minute,
-    and each minute is linked to the first start of the key's next one. Of versions that
-    start together only the last is followed by the next start time.
-    """
-    key, start = "hash_sk", "start_ts"
-    tie = F.struct("batch_id", "hash_seq_num")
-    steps = df.groupBy(key, start).agg(F.max(tie).alias("_last")).withColumn(
-        "_minute", F.date_trunc("minute", start))
-    heads = steps.groupBy(key, "_minute").agg(F.min(start).alias("_head"))
-    heads = heads.withColumn("_next_head", F.lead("_head").over(Window.partitionBy(key).orderBy("_minute")))
-    within = Window.partitionBy(key, "_minute").orderBy(start)
-    linked = (steps.withColumn("_within", F.lead(start).over(within))
-              .join(heads.select(key, "_minute", "_next_head"), [key, "_minute"])
-              .select(key, start, "_last", F.coalesce("_within", "_next_head").alias("_following")))
-    joined = spread(df, linked, [key, start])
-    return joined.withColumn("_next", F.when(tie < F.col("_last"), F.col(start)).otherwise(F.col("_following"))
-                             ).drop("_last", "_following")
-
-
 def scd2_delete(target: DataFrame, live: DataFrame, keys: Sequence[str], ended_at: Column) -> DataFrame:
     """End the active versions whose key is gone from the source."""
     live_keys = live.select(*[F.col(k).alias(f"_l_{k}") for k in keys]).distinct().withColumn("_live", F.lit(True))

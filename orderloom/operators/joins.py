@@ -46,6 +46,12 @@ def drop_matching_null_safe(df: DataFrame, other: DataFrame, keys: Sequence[str]
     return df.join(right, same_key(df, right, {k: f"_k_{k}" for k in keys}), "left_anti")
 
 
+def keep_matching_null_safe(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """EXISTS where null keys count as equal."""
+    right = other.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    return df.join(right, same_key(df, right, {k: f"_k_{k}" for k in keys}), "left_semi")
+
+
 def prefixed(df: DataFrame, prefix: str, keys: Sequence[str] = (), only: Sequence[str] | None = None) -> DataFrame:
     """Rename all columns but the keys, so that a join cannot clash."""
     names = [c for c in df.columns if only is None or c in only or c in keys]

@@ -99,7 +99,7 @@ def publish_network(facts: DataFrame, products: DataFrame) -> DataFrame:
         available("store_atp").alias("available_in_store"),
         available("warehouse_atp").alias("available_in_warehouse"),
         available("dropship_atp").alias("available_by_dropship"),
-        codes.published_channel("selling_channel", codes.RETAIL_PICKUP_ORGS, "RETAIL").alias("selling_channel"),
+        codes.published_channel("selling_channel", codes.NETWORK_CHANNELS).alias("selling_channel"),
         F.lit("ATP_PUBLISH").alias("transaction_type"), iso_text("updated_ts").alias("update_time"),
         F.col("future_date").cast("string").alias("future_date"),
         F.col("atp").cast("string").alias("total_atp"),
@@ -120,7 +120,7 @@ def publish_location(facts: DataFrame, products: DataFrame, locations: DataFrame
     channel = F.lower("selling_channel")
     return joined.select(
         F.col("store_number").cast("string").alias("location_id"), "location_type", F.lit("FL-NA").alias("org_id"),
-        codes.published_channel("selling_channel", codes.ECOMM_PICKUP_ORGS, "ECOMM").alias("selling_channel"),
+        codes.published_channel("selling_channel", codes.LOCATION_CHANNELS).alias("selling_channel"),
         F.lit("CHECKOUT").alias("transaction_type"), F.col("sku_number").alias("gtin"),
         F.trim(F.concat_ws("-", sku, "legacy_size_desc")).alias("product_id"), F.lit("EACH").alias("uom"),
         F.when(channel.like("%bopis%"), "PICK").when(channel.like("%shiptohome%"), "SHIP").alias("fulfilment_type"),

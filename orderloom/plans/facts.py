@@ -100,15 +100,13 @@ def line_charge_details(charges: DataFrame, original_process: str) -> DataFrame:
         F.lit(2).alias("adjustmentType"), F.lit("RETURN LABEL FEE").alias("adjustmentTypeDesc"),
         F.lit("NA").alias("adjustmentTypeId"), F.abs("charge_total").alias("amount"),
         F.lit("NA").alias("override")))
-    coupons = pack_ordered(rows, LINE_LINK, order, coupon, "_coupons", part="coupons_part", sized_by=charges)
-    fees = pack_ordered(rows, LINE_LINK, order, fee, "_fees", part="fees_part", sized_by=charges)
+    coupons = pack_ordered(rows, LINE_LINK, order, coupon, "_coupons")
+    fees = pack_ordered(rows, LINE_LINK, order, fee, "_fees")
     joined = (extra.join(charge_sums(charges, LINE_LINK, original_process), list(LINE_LINK))
               .join(coupons, list(LINE_LINK), "left").join(fees, list(LINE_LINK), "left"))
     return joined.withColumns({
         "coupons": F.coalesce(F.to_json("_coupons"), F.lit("[]")),
         "return_fees": F.coalesce(F.to_json("_fees"), F.lit("[]")),
-        "coupons_part": F.coalesce("coupons_part", F.lit(0)),
-        "fees_part": F.coalesce("fees_part", F.lit(0)),
     }).drop("_coupons", "_fees")
 
 
@@ -160,7 +158,7 @@ def payment_profile(tables: Tables, profile: str | None) -> DataFrame:
                                            F.max("vendor_id").alias("vendor_id"),
                                            F.max("is_prepaid").alias("is_prepaid"))
     texts = distinct_text(rows, ORDER_KEY, "payment_type", "payment_types")
-    return summary.join(texts.withColumnRenamed("part", "payment_types_part"), list(ORDER_KEY), "left")
+    return summary.join(texts, list(ORDER_KEY), "left")
 
 
 def refund_credits(tables: Tables) -> DataFrame:
@@ -193,7 +191,7 @@ def refund_credits(tables: Tables) -> DataFrame:
                     F.lit("NA").alias("adjustmentTypeId"), F.abs("_credits").alias("amount"),
                     F.lit("NA").alias("override"))
     listed = pack_ordered(rows, ORDER_KEY, {"_size": -F.abs("_credits"), "_id": F.col("_header")}, item,
-                          "_credits_info", part="credits_part")
+                          "_credits_info")
     return sums.join(listed, list(ORDER_KEY), "left").withColumn(
         "credits_info", F.to_json("_credits_info")).drop("_credits_info")
 
@@ -205,6 +203,12 @@ def exchanged_or_returned(lines: DataFrame) -> DataFrame:
             .select(*ORDER_LINK, F.lit(True).alias("has_return")))
 
 
+def line_statuses(tables: Tables, profile: str | None) -> DataFrame:
+    """Descriptions of the order statuses, one per status; of several the last in order."""
+    return (for_profile(tables["statuses"], profile).filter(F.lower("process_type_id") == "order_execution")
+            .groupBy(status_or_null("status").alias("_status")).agg(F.max("description").alias("description")))
+
+
 def order_header_fact(tables: Tables, original_process: str, profile: str | None = None) -> DataFrame:
     """One row per order from the order table and its details. Key: org_id, order_id."""
     orders = tables["orders"]
@@ -350,9 +354,8 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
     lost_taxes = tax_sums(tables["cancelled_line_taxes"], LINE_LINK, original_process).drop("tax_code")
     releases = release_rows(tables, lines)
     notes = pivot_notes(tables["line_notes"], LINE_LINK, F.replace(F.lower("note_type_id"), F.lit(" "), F.lit("")),
-                        F.col("note_text"), "notes", sized_by=tables["line_notes"]).withColumnRenamed("part", "notes_part")
-    statuses = for_profile(tables["statuses"], profile).select(
-        status_or_null("status").alias("_status"), F.col("description")).dropDuplicates(["_status"])
+                        F.col("note_text"), "notes")
+    statuses = line_statuses(tables, profile)
     reasons = for_profile(tables["reasons"], profile).select(
         F.col("reason_id").alias("cancel_reason_id"), F.col("description").alias("cancel_reason_desc"))
     cancelled = (newest_of(tables["cancel_history"], LINE_LINK, ("cancel_reason",))
@@ -432,7 +435,8 @@ def item_attributes(tables: Tables, profile: str | None, columns: Sequence[str])
     """Selling attributes per item of one profile."""
     items = for_profile(tables["items"], profile).select("item_id", F.col("pk").alias("item_pk"), "profile_id")
     selling = tables["selling_attributes"].select("item_pk", "profile_id", *columns)
-    return items.join(selling, ["item_pk", "profile_id"]).select("item_id", *columns).dropDuplicates(["item_id"])
+    return items.join(selling, ["item_pk", "profile_id"]).groupBy("item_id").agg(
+        F.max(F.struct(*columns)).alias("_best")).select("item_id", "_best.*")
 
 
 # Payment line --------------------------------------------------------------------

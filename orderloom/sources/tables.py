@@ -77,3 +77,22 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Write partitions whole; the ones not named in ``df`` stay. Safe to run again."""
     (_clustered(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*by).parquet(path))
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder of files is there."""
+    fs, target = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
+    """Remove one partition's folder; nothing happens where it is gone already."""
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(
+        column, None if value is None else str(value))
+    fs, target = _hadoop(spark, f"{path.rstrip('/')}/{named}")
+    fs.delete(target, True)

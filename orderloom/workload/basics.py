@@ -385,7 +385,7 @@ def _packed_lines(t: Inputs) -> DataFrame:
 _ORDERED = "l_linenumber, l_partkey, l_suppkey, l_quantity"
 
 
-@query(f"""SELECT l_orderkey, 0 AS part, '[' || string_agg('{{"n":' || l_linenumber || ',"part":' || l_partkey
+@query(f"""SELECT l_orderkey, '[' || string_agg('{{"n":' || l_linenumber || ',"part":' || l_partkey
   || ',"qty":' || CAST(l_quantity AS BIGINT) || '}}', ',' ORDER BY {_ORDERED}) || ']' AS lines
   FROM lineitem GROUP BY 1""")
 def pack_lines_per_order(t: Inputs) -> DataFrame:
@@ -426,7 +426,7 @@ def array_elements(t: Inputs) -> DataFrame:
                                    F.array_join(parts.cast("array<string>"), ",").alias("parts"))
 
 
-@query("""SELECT l_orderkey, 0 AS part, '[' || coalesce(string_agg('{"code":"' || l_returnflag || '","amount":' ||
+@query("""SELECT l_orderkey, '[' || coalesce(string_agg('{"code":"' || l_returnflag || '","amount":' ||
     CAST(l_quantity AS BIGINT) || '}', ',' ORDER BY l_quantity DESC, l_partkey, l_suppkey, l_linenumber), '') || ']'
     AS listed FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1""")
 def compact_ordered_json(t: Inputs) -> DataFrame:
@@ -438,7 +438,7 @@ def compact_ordered_json(t: Inputs) -> DataFrame:
     return packed.withColumn("listed", F.to_json("listed"))
 
 
-@query("""SELECT user_id, 0 AS part, '[{' || string_agg('"' || kind || '":"' || note || '"', ',' ORDER BY kind) || '}]'
+@query("""SELECT user_id, '[{' || string_agg('"' || kind || '":"' || note || '"', ',' ORDER BY kind) || '}]'
   AS notes FROM (SELECT user_id, replace(lower('My ' || event_type), ' ', '') AS kind,
     max(lpad(CAST(event_id AS VARCHAR), 9, '0')) AS note FROM events GROUP BY 1, 2) GROUP BY 1""")
 def pivot_notes(t: Inputs) -> DataFrame:
@@ -455,7 +455,7 @@ def transform_arrays(t: Inputs) -> DataFrame:
     return _packed_lines(t).select("l_orderkey", F.array_join(text, ",").alias("doubled"))
 
 
-@query("""SELECT l_suppkey, 0 AS part, string_agg(repeat(l_returnflag || ',', n), '' ORDER BY l_returnflag) AS flags
+@query("""SELECT l_suppkey, string_agg(repeat(l_returnflag || ',', n), '' ORDER BY l_returnflag) AS flags
   FROM (SELECT l_suppkey, l_returnflag, CAST(max(n) AS BIGINT) AS n FROM (SELECT l_suppkey, l_orderkey, l_returnflag,
     count(*) AS n FROM lineitem GROUP BY ALL) GROUP BY 1, 2) GROUP BY 1""")
 def union_arrays(t: Inputs) -> DataFrame:
@@ -465,7 +465,7 @@ def union_arrays(t: Inputs) -> DataFrame:
     return united.withColumn("flags", F.concat(F.array_join("flags", ","), F.lit(",")))
 
 
-@query("""SELECT user_id, 0 AS part, '["' || string_agg(DISTINCT event_type, '","' ORDER BY event_type) || '"]' AS types
+@query("""SELECT user_id, '["' || string_agg(DISTINCT event_type, '","' ORDER BY event_type) || '"]' AS types
   FROM events GROUP BY 1""")
 def distinct_sorted_text(t: Inputs) -> DataFrame:
     return G.distinct_text(t["events"], ["user_id"], "event_type", "types")

@@ -287,7 +287,6 @@ def order_line_fact_rows(t: Inputs) -> DataFrame:
     """Order line fact: star join of a line with its charges, taxes, release, tracking,
     notes, status texts and places."""
     source = Source(t)
-    source["statuses"] = t["src_statuses"].filter("process_type_id = 'ORDER_EXECUTION'")
     fact = X.order_line_fact(source, INITIAL, PROFILE, PROFILE)
     fees = F.size(F.from_json("return_fees", "array<struct<amount:double>>"))
     return as_doubles(fact.select(
@@ -567,7 +566,6 @@ def package_detail_rows(t: Inputs) -> DataFrame:
 def release_detail_rows(t: Inputs) -> DataFrame:
     """Release lines with their fulfilment, place, ship date and kind."""
     source = Source(t)
-    source["statuses"] = t["src_statuses"].filter("process_type_id = 'ORDER_EXECUTION'")
     fact = U.release_detail_fact(source, t["src_locations"], PROFILE)
     return fact.select("release_line_pk", "status", "status_desc", "ship_from_location", "ship_via", "shipped_ts",
                        "fulfilment_type", "is_rejected")

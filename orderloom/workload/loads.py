@@ -228,12 +228,12 @@ def mark_status_history(t: Inputs) -> DataFrame:
 
 @query("""SELECT user_id, event_id, ts AS start_ts, lead(ts) OVER w AS end_ts, CASE WHEN lead(ts) OVER w IS NULL
   THEN 'Y' ELSE 'N' END AS active_flg FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
-def type2_close_hot_keys(t: Inputs) -> DataFrame:
-    """Every user counts as a hot key here, so no window holds all versions of one."""
+def type2_close_versions(t: Inputs) -> DataFrame:
+    """Many versions of every key, closed by their starts."""
     rows = t["events"].select("user_id", "event_id", "ts", "event_type")
     staged = H.scd2_stage(rows, ["user_id"], ["event_type"], F.col("ts"), 0, loaded_at=F.col("ts"))
     staged = staged.withColumn("batch_id", F.col("event_id").cast("decimal(38,0)"))
-    return H.scd2_close(staged, group_rows=20).select("user_id", "event_id", "start_ts", "end_ts", "active_flg")
+    return H.scd2_close(staged).select("user_id", "event_id", "start_ts", "end_ts", "active_flg")
 
 
 # Audit -----------------------------------------------------------------------------

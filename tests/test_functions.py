@@ -73,9 +73,9 @@ def test_codes_fall_back(spark):
     assert one(spark, codes.order_status("s", "d"), s="4242", d="odd") == "ODD"
     assert one(spark, codes.mart_order_status("s", "d", F.lit(1)), s="1500", d="x") == "SUBMITTED"
     assert one(spark, codes.mart_order_status("s", "d", F.lit(1)), s="7000", d="x") == "FRAUD_CHECK_FAILED"
-    assert one(spark, codes.published_channel("c", codes.RETAIL_PICKUP_ORGS, "RETAIL"), c="CH-US-BOPIS") == (
+    assert one(spark, codes.published_channel("c", codes.NETWORK_CHANNELS), c="CH-US-BOPIS") == (
         "CHP_US_RETAIL")
-    assert one(spark, codes.published_channel("c", codes.RETAIL_PICKUP_ORGS, "RETAIL"), c="CH-CA-BOPIS") == (
+    assert one(spark, codes.published_channel("c", codes.NETWORK_CHANNELS), c="CH-CA-BOPIS") == (
         "CH-CA-BOPIS")
 
 

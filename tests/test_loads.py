@@ -40,6 +40,17 @@ def test_late_rows_do_not_win(spark, rows):
     assert rows(upsert_newer(target, source, ["k"], "ts")) == [(1, 5, "new"), (2, 3, "y")]
 
 
+def test_stamps_that_are_missing_or_equal(spark, rows):
+    target = spark.createDataFrame([(1, 5, 2, "kept"), (2, None, 1, "old"), (3, 5, 7, "kept"), (4, 5, None, "old")],
+                                   "k int, ts int, n int, v string")
+    source = spark.createDataFrame([(1, None, 9, "no stamp"), (2, 1, 0, "new"), (3, 5, 6, "earlier"), (4, 5, 1, "new"),
+                                    (5, None, None, "first")], "k int, ts int, n int, v string")
+    once = upsert_newer(target, source, ["k"], "ts", ["n"])
+    assert rows(once, "k", "v") == [(1, "kept"), (2, "new"), (3, "kept"), (4, "new"), (5, "first")]
+    assert rows(upsert_newer(once, target, ["k"], "ts", ["n"])) == rows(once)
+    assert rows(upsert_newer(once, source, ["k"], "ts", ["n"])) == rows(once)
+
+
 def test_duplicate_source_keys_fail(spark):
     with pytest.raises(Exception, match="duplicate source keys"):
         require_unique(spark.createDataFrame([(1,), (1,)], "k int"), ["k"])
@@ -70,8 +81,7 @@ def test_pruned_upsert_leaves_other_partitions_alone(spark, tmp_path, rows):
     append_partitioned(data, str(path), ["month"])
     before = {m: sorted(p.name for p in (path / f"month={m}").glob("*.parquet"))
               for m in ("2024-01", "2024-02", "2024-03")}
-    source = spark.createDataFrame([(3, "C", "2024-03"), (4, "d", "2024-03"), (1, "late", "2024-01")],
-                                   "k int, v string, month string")
+    source = spark.createDataFrame([(3, "C", "2024-03"), (4, "d", "2024-03")], "k int, v string, month string")
     got = upsert_pruned(spark, str(path), source, ["k"], "month", "2024-02")
     assert rows(got, "k", "v") == [(1, "a"), (2, "b"), (3, "C"), (4, "d")]
     after = {m: sorted(p.name for p in (path / f"month={m}").glob("*.parquet")) for m in before}
@@ -79,6 +89,24 @@ def test_pruned_upsert_leaves_other_partitions_alone(spark, tmp_path, rows):
     assert after["2024-03"] != before["2024-03"]
 
 
+def test_pruned_upsert_takes_late_rows_and_moves_keys(spark, tmp_path, rows):
+    path = tmp_path / "orders"
+    data = spark.createDataFrame([(1, "a", "2024-01"), (2, "b", "2024-02"), (3, "c", "2024-03"), (None, "n", "2024-03")],
+                                 "k int, v string, month string")
+    append_partitioned(data, str(path), ["month"])
+    source = spark.createDataFrame([(1, "late", "2024-01"), (9, "older", "2023-12"), (3, "moved", "2024-04"),
+                                    (2, "gone back", "2024-03"), (None, "N", "2024-03")],
+                                   "k int, v string, month string")
+    for _ in range(2):
+        got = upsert_pruned(spark, str(path), source, ["k"], "month", "2024-02")
+        assert rows(got, "k", "v", "month") == [
+            (None, "N", "2024-03"), (1, "late", "2024-01"), (2, "gone back", "2024-03"), (3, "moved", "2024-04"),
+            (9, "older", "2023-12")]
+    assert not (path / "month=2024-02").exists()
+    with pytest.raises(Exception, match="duplicate source keys"):
+        upsert_pruned(spark, str(path), source.union(source), ["k"], "month", "2024-02")
+
+
 # Type-2 history ---------------------------------------------------------------------
 
 def staged(spark, data, day, batch):
@@ -129,16 +157,30 @@ def test_type2_delete_and_return(spark):
     assert versions(H.scd1_delete(state, live, ["k"])) == [(2, "b", 1, None, "Y")]
 
 
-def test_hot_keys_close_like_others(spark):
-    """Many versions of one key, some of which start at the same time."""
-    rows = [(k, f"v{i}", i // 3) for k, n in ((1, 60), (2, 4)) for i in range(n)]
-    df = spark.createDataFrame(rows, "k int, v string, hour int")
-    start = F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("hour") * 7)
-    state = H.scd2_stage(df, ["k"], ["v"], start, 1, loaded_at=stamp(1))
-    want = {(r.k, r.v): (r.end_ts, r.active_flg) for r in H.scd2_close(state).collect()}
-    got = {(r.k, r.v): (r.end_ts, r.active_flg) for r in H.scd2_close(state, group_rows=10).collect()}
-    assert got == want
-    assert sum(flag == "Y" for _, flag in got.values()) == 2
+def test_type2_takes_all_versions_of_a_batch_late_ones_and_replays(spark):
+    one = staged(spark, [(1, "a")], 1, 1)
+    two = staged(spark, [(1, "b")], 4, 2).unionByName(staged(spark, [(1, "c"), (2, "x")], 6, 2))
+    state = H.scd2_merge(one.limit(0), one)
+    state = H.scd2_merge(state, two)
+    want = [(1, "a", 1, 4, "N"), (1, "b", 4, 6, "N"), (1, "c", 6, None, "Y"), (2, "x", 6, None, "Y")]
+    invariants(state)
+    assert versions(state) == want
+    for again in (one, two, one.unionByName(two), staged(spark, [(1, "a")], 2, 3)):
+        assert versions(H.scd2_merge(state, again)) == want
+    late = H.scd2_merge(state, staged(spark, [(1, "z")], 3, 4))
+    invariants(late)
+    assert versions(late) == [(1, "a", 1, 3, "N"), (1, "b", 4, 6, "N"), (1, "c", 6, None, "Y"), (1, "z", 3, 4, "N"),
+                              (2, "x", 6, None, "Y")]
+    together = H.scd2_merge(one.limit(0), two.unionByName(one))
+    assert versions(together) == want
+
+
+def test_type2_leaves_other_keys_alone(spark):
+    state = staged(spark, [(1, "a"), (2, "b")], 1, 1)
+    plan = H.scd2_merge(state, staged(spark, [(1, "x")], 2, 2))._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    got = H.scd2_merge(state.filter("k = 2").withColumn("end_ts", stamp(9)), staged(spark, [(1, "x")], 2, 2))
+    assert versions(got) == [(1, "x", 2, None, "Y"), (2, "b", 1, 9, "Y")]  # as it was, though not closed
 
 
 def test_status_flag_marks_one_version_per_status(spark, rows):
@@ -157,6 +199,26 @@ def journal(spark, data):
                                  "n int")
 
 
+def test_late_changes_do_not_replace_newer_states(spark, rows):
+    newest = journal(spark, [(1, "B", "IncrementalUpdate", 9), (2, "x", "IncrementalDeleteRows", 9)])
+    late = journal(spark, [(1, "A", "IncrementalUpdate", 2), (2, "A", "IncrementalUpdate", 2)])
+    state = H.current_state(newest.limit(0), newest, ["pk"], with_deleted=True)
+    assert rows(H.not_deleted(H.current_state(state, late, ["pk"], with_deleted=True)), "pk", "status") == [(1, "B")]
+
+
+def test_archives_take_rows_at_the_watermark_once(spark, tmp_path):
+    schema = "pk int, event_type string, seen_at timestamp_ntz, n int"
+    at = datetime(2024, 1, 2, 12)
+    source, target = str(tmp_path / "journal"), str(tmp_path / "archive")
+    spec = [H.JournalSpec(source, target)]
+    spark.createDataFrame([(1, "x", datetime(2024, 1, 1), 1), (2, "x", at, 2)], schema).write.parquet(source)
+    H.archive_changes(spark, spec, {})
+    spark.createDataFrame([(3, "x", at, 3), (4, "x", datetime(2024, 1, 3), 4)], schema).write.mode("append").parquet(source)
+    for _ in range(2):
+        H.archive_changes(spark, spec, {source: at})
+        assert sorted(r.pk for r in spark.read.parquet(target).collect()) == [1, 2, 3, 4]
+
+
 def test_current_state_and_deletes(spark, rows):
     changes = journal(spark, [(1, "a", "IncrementalInsertRows", 1), (1, "b", "IncrementalUpdateRows", 2),
                               (2, "a", "IncrementalInsertRows", 1), (2, None, "IncrementalDeleteRows", 3),

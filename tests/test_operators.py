@@ -9,7 +9,6 @@ from orderloom.operators import aggregate as G
 from orderloom.operators import joins as J
 from orderloom.operators import latest as W
 from orderloom.operators import nested as N
-from orderloom.operators.skew import hot_groups, split_hot, with_part
 from orderloom.sources import tables as S
 from tests.conftest import plan_of
 
@@ -46,39 +45,15 @@ def test_spread_keeps_every_row_and_null_keys(skewed, rows):
     assert "Window" not in plan_of(spread)
 
 
-def test_hot_groups_are_found_and_dealt_out(skewed):
-    assert hot_groups(skewed, ["k"], 10_000) is None
-    assert {r["_h_k"] for r in hot_groups(skewed, ["k"], 90).collect()} == {1, None}
-    calm, hot = split_hot(skewed, ["k"], 90)
-    assert (calm.count(), hot.count()) == (500, 400)
-    parts = with_part(skewed, ["k"], ["id"], 90)
-    assert parts.count() == skewed.count()
-    sizes = {(r.k, r.part): r["count"] for r in parts.groupBy("k", "part").count().collect()}
-    assert {p for k, p in sizes if k == 1} == {0, 1, 2, 3}
-    assert {p for k, p in sizes if k == 5} == {0}
-
-
-@pytest.mark.parametrize("limit", [10, 90, 10_000])
-def test_packed_parts_hold_everything_in_order(skewed, limit):
-    packed = G.pack_ordered(skewed, ["k"], {"n": F.col("n"), "id": F.col("id")}, F.struct("n", "id"), "items", limit)
-    got = {}
-    for r in packed.collect():
-        items = [(i.n, i.id) for i in r["items"]]
-        assert items == sorted(items)
-        got.setdefault(r.k, []).extend(items)
+def test_packed_arrays_hold_everything_in_order(skewed):
+    """One row per key, also for a key with a third of all rows and for the null key."""
+    packed = G.pack_ordered(skewed, ["k"], {"n": F.col("n"), "id": F.col("id")}, F.struct("n", "id"), "items")
+    got = {r.k: [(i.n, i.id) for i in r["items"]] for r in packed.collect()}
     want = {}
     for r in skewed.collect():
         want.setdefault(r.k, []).append((r.n, r.id))
-    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
-    if limit == 10_000:
-        assert packed.filter("part > 0").count() == 0
-
-
-def test_pack_sizes_groups_by_another_table(skewed):
-    packed = G.pack_ordered(skewed.filter("id % 2 = 0"), ["k"], {"id": F.col("id")}, F.col("id"), "ids", 90,
-                            sized_by=skewed)
-    assert packed.filter("k = 1").count() > 1
-    assert packed.select(F.sum(F.size("ids"))).first()[0] == skewed.filter("id % 2 = 0").count()
+    assert got == {k: sorted(v) for k, v in want.items()}
+    assert packed.count() == len(want)
 
 
 def test_union_arrays_keeps_the_highest_multiplicity(spark, rows):
