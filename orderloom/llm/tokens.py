@@ -7,19 +7,22 @@ other. Pieces repeat, and a dictionary of them costs far less than encoding each
 from __future__ import annotations
 
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
 CACHE_PIECES = 400_000  # the dictionary starts anew beyond this; a bound on memory, without effect on the ids
-BLOCK_CHARS = 4_000_000  # texts are encoded in blocks of about so many characters; a longer text is a block alone
+BLOCK_CHARS = 2_000_000  # texts are encoded in blocks of about so many characters; a longer text is a block alone
 
 SEPARATOR = "\ue000"  # a private-use character, set between pieces that are encoded together
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # what tokenizers call white space
 
 
-# letters followed by marks: tokenizers cut there, so such a piece is its word and its marks
-WORD_AND_MARKS = re.compile("(\n?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?*#$%&|]+)")
+# tokenizers cut between letters and marks, so such a piece is its line break, its word and its marks
+WORD_AND_MARKS = re.compile("(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?*#$%&|]*)")
+# byte-level vocabularies write a byte that is no printable Latin-1 character as one of the characters from 256 on
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_NAMES = dict(zip((b for b in range(256) if b not in PRINTABLE), map(chr, range(256, 512))))
 
 
 class PieceEncoder:
@@ -37,6 +40,7 @@ class PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.spaced = spaced
         self.mark = self._plain(" " + SEPARATOR) if spaced else self._plain(SEPARATOR)
         # white space next to white space may be one token, and \x01 marks the first piece below
@@ -56,6 +60,11 @@ class PieceEncoder:
         if not text:
             return []
         if not self.spaced:
+            try:  # Latin-1 text may be lower-cased early, so that fewer pieces differ
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
             return text.replace("\n", " ").split(" ")
         if self.uneven.search(text):
             return ["\x01" + p for p in self.general.findall(text)]
@@ -71,32 +80,64 @@ class PieceEncoder:
             return piece[1:]
         return piece if piece[:1] == "\n" else " " + piece
 
-    def _add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
+    def _add(self, pieces: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
         first = len(self.index)
         self.index.update(zip(pieces, range(first, first + len(pieces))))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        self.pool = np.concatenate([self.pool, *ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes, dtype=np.int64)])
+        self.pool = np.concatenate([self.pool, flat])
+
+    def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after the other, and the place behind each piece."""
+        sizes = (self.starts[1:] - self.starts[:-1])[codes]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.pool[np.arange(total) + np.repeat(self.starts[codes] - (ends - sizes), sizes)], ends
+
+    def _add_words(self, words: list[str]) -> None:
+        """Pieces of letters, straight from the model: nothing is left to normalise or to cut."""
+        tokenize, flat, sizes = self.model.tokenize, [], []
+        for piece in words:
+            text = self._written(piece) if self.spaced else piece.lower()
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(BYTE_NAMES)
+            elif text[:1] == " ":
+                text = BYTE_NAMES[32] + text[1:]
+            tokens = tokenize(text)
+            flat += [t.id for t in tokens]
+            sizes.append(len(tokens))
+        self._add(words, np.array(flat, np.uint16), np.array(sizes, np.int64))
 
     def _learn(self, pieces: list[str]) -> None:
-        """Add pieces; those that are a word and marks are put together from the ids of both."""
-        made, whole = [], {}
+        """Add pieces. A word with a line break or marks is put together from the ids of its parts."""
+        match, prefix = WORD_AND_MARKS.fullmatch, "\x01" if self.spaced else ""
+        words, others, made, parts, counts = {}, {}, [], [], []
         for p in pieces:
-            if cut := WORD_AND_MARKS.fullmatch(p):
-                word, marks = cut[1], "\x01" + cut[2] if self.spaced else cut[2]
-                made.append((p, word, marks))
-                whole[word] = whole[marks] = None
-            else:
-                whole[p] = None
-        self._encode_new([p for p in whole if p not in self.index])
-        made = [m for m in made if m[0] not in self.index]
-        at, starts, pool = self.index, self.starts.tolist(), self.pool
-        joined = []
-        for _, word, marks in made:
-            a, b = at[word], at[marks]
-            joined.append(np.concatenate([pool[starts[a]:starts[a + 1]], pool[starts[b]:starts[b + 1]]]))
+            cut = match(p)
+            if cut is None:
+                others[p] = None
+                continue
+            line, word, marks = cut.groups()
+            if not line and not marks:
+                words[p] = None
+                continue
+            before = len(parts)
+            if line:
+                others["\x01\n"] = None
+                parts.append("\x01\n")
+                word = "\x01" + word
+            words[word] = None
+            parts.append(word)
+            if marks:
+                others[prefix + marks] = None
+                parts.append(prefix + marks)
+            made.append(p)
+            counts.append(len(parts) - before)
+        self._add_words([w for w in words if w not in self.index])
+        self._encode_new([p for p in others if p not in self.index])
         if made:
-            self._add([m[0] for m in made], joined)
+            flat, ends = self._gather(np.fromiter(map(self.index.get, parts), np.int64, len(parts)))
+            behind = ends[np.cumsum(counts) - 1]
+            self._add(made, flat, np.diff(behind, prepend=0))
 
     def _encode_new(self, pieces: list[str]) -> None:
         if not pieces:
@@ -122,7 +163,7 @@ class PieceEncoder:
         rest = [i for i, a in enumerate(alone) if a]
         for i, e in zip(rest, self.tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
             ids[i] = np.array(e.ids, np.uint16)
-        self._add(pieces, ids)
+        self._add(pieces, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text followed by ``end``, as one array; and the number of ids of each text."""
@@ -131,16 +172,12 @@ class PieceEncoder:
         lists = [self._pieces(t) for t in texts]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         pieces = list(chain.from_iterable(lists))
-        known = list(map(self.index.get, pieces))
-        if None in known:
-            self._learn(list(dict.fromkeys(p for p, k in zip(pieces, known) if k is None)))
-            known = list(map(self.index.get, pieces))
-        codes = np.array(known, np.int64)
-        sizes = (self.starts[1:] - self.starts[:-1])[codes]
-        ends = np.cumsum(sizes)
-        # ids of the pieces in text order: for each output place, its place in the pool
-        source = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[codes] - (ends - sizes), sizes)
-        flat = self.pool[source]
+        codes = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        if len(new := np.flatnonzero(codes < 0)):
+            unknown = [pieces[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(unknown)))
+            codes[new] = np.fromiter(map(self.index.get, unknown), np.int64, len(unknown))
+        flat, ends = self._gather(codes)
         last_piece = np.cumsum(counts)
         text_ends = np.concatenate([[0], ends])[last_piece]
         lengths = np.diff(text_ends, prepend=0) + 1
