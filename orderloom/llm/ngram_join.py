@@ -10,7 +10,7 @@ if their first shared token is frequent, all they share are, and prefixes longer
   of the larger set; each set is indexed for every m that its partners can have.
 
 Each entry of the index says how many of its set's tokens can be shared if this key is the first one that a pair shares:
-those from it on, or all frequent ones. A pair meets only where that is enough for the threshold.
+those from it on, or, as two of the first m + 1 are of one class, m and those from the later of the two on. A pair meets only where that is enough for the threshold.
 
 Sets that meet in the index are verified on all their tokens. Which tokens count as frequent only decides the work
 and never the result.
@@ -37,7 +37,8 @@ FREQUENT_LIMIT = 200_000  # the most frequent ones travel to every task: 1.8 MB
 FLUSH_POSTINGS = 1_000_000
 SMALL_RUN = 8  # sets under one key up to which all its pairs are candidates at once
 BUCKETS_PER_PARTITION = 4
-CLUSTER_TOKENS = 1_000_000  # 8 MB of token hashes
+BLOCK_SETS = 1_000  # sets of a crowd that are compared with each other, or with another block, at a time
+BLOCK_PAIRS = 500  # partners of a document that one task compares with it
 
 
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
@@ -119,11 +120,14 @@ def _prefix_keys(tokens: np.ndarray, classes: np.ndarray, least: tuple[int, int]
         group = (mixed(chosen) % np.uint64(m)).astype(np.int64)
         by = np.lexsort((chosen, group))
         chosen, group = chosen[by], group[by]
+        place = rare + by
         for gap in range(1, int(np.bincount(group).max())):
             same = group[gap:] == group[:-gap]
             pair = mixed(chosen[:-gap][same] + np.uint64(level)) ^ chosen[gap:][same]
             keys.append(mixed(pair))
-            rest.append(np.full(len(pair), len(frequent)))
+            # both are among the first m + 1 shared tokens, so what else is shared comes behind the later one
+            later = np.maximum(place[:-gap][same], place[gap:][same])
+            rest.append(np.minimum(len(frequent), m + n - later))
     return np.concatenate(keys), np.concatenate(rest)
 
 
@@ -239,64 +243,86 @@ def _similar(x: np.ndarray, y: np.ndarray, least: tuple[int, int]) -> bool:
     return shared > 0 and den * shared >= num * (len(x) + len(y) - shared)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
     """The ``pairs`` (a < b) of documents whose sets reach the threshold.
 
-    Documents that pairs join make a cluster. A cluster of up to CLUSTER_TOKENS tokens travels to one task, every
-    text once; each document is compared there with its own partners. In larger clusters the two sets of each pair
-    meet by two joins, so no task holds such a cluster.
+    The texts of all b of one a travel to the text of a. An a with more than BLOCK_PAIRS partners is dealt to several
+    tasks, each with a text of a, so no task holds all partners of one document.
     """
-    clusters = components(pairs)
-    clusters = staged(clusters.join(sizes, clusters["id"] == sizes["doc_id"]).groupBy("id", "label").agg(
-        F.max("n").alias("n")), "clusters")
-    large = clusters.groupBy("label").agg(F.sum("n").alias("n")).filter(F.col("n") > CLUSTER_TOKENS).select("label")
-    large_ids = staged(clusters.join(large, "label", "left_semi").select("id"), "large-clusters")
-
-    small = pairs.join(large_ids.withColumnRenamed("id", "a"), "a", "left_anti")
-    partners = small.groupBy("b").agg(F.collect_list("a").alias("partners"))
-    wanted = staged(clusters.join(large_ids, "id", "left_anti")
-                    .join(partners, F.col("id") == F.col("b"), "left").select("id", "label", "partners"), "wanted")
-
-    def compare_cluster(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        label, held = None, {}
+    blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_PAIRS).cast("int").alias("n"))
+    heads = blocks.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"),
+                          F.lit(0).alias("role"))
+    members = pairs.join(blocks, "a").select(F.col("b").alias("id"), "a", F.pmod(F.hash("b"), F.col("n")).alias("block"),
+                                             F.lit(1).alias("role"))
+    wanted = staged(heads.unionByName(members), "wanted")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, heads = None, []
         for batch in batches:
-            at, a, b = 0, [], []
-            labels, partners = batch["label"].tolist(), batch["partners"].tolist()
+            a, b, i = [], [], 0
+            place = list(zip(batch["a"].tolist(), batch["block"].tolist()))
+            roles = batch["role"].tolist()
             for ids, sets in _blocks(batch, words):
                 for doc, own in zip(ids, sets):
-                    if labels[at] != label:
-                        label, held = labels[at], {}
-                    # the smaller ids of the cluster have come before
-                    for other in partners[at] if partners[at] is not None else ():
-                        if any(_similar(x, own, least) for x in held.get(other, ())):
-                            a.append(other)
-                            b.append(doc)
-                    held.setdefault(doc, []).append(own)
-                    at += 1
+                    if place[i] != at:
+                        at, heads = place[i], []
+                    if roles[i] == 0:
+                        heads.append(own)
+                    elif any(_similar(x, own, least) for x in heads):
+                        a.append(at[0])
+                        b.append(doc)
+                    i += 1
             yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
-    near = (docs.join(wanted, F.col("doc_id") == F.col("id")).select("label", "doc_id", "text", "partners")
-            .repartition("label").sortWithinPartitions("label", "doc_id").mapInPandas(compare_cluster, "a long, b long"))
+    met = docs.join(wanted, F.col("doc_id") == F.col("id")).select("a", "block", "role", "doc_id", "text")
+    return (met.repartition("a", "block").sortWithinPartitions("a", "block", "role")
+            .mapInPandas(compare, "a long, b long").distinct())
 
-    def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ids, found in _blocks(batch, words):
-                yield pd.DataFrame({"id": ids, "tokens": [s.tobytes() for s in found]})
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            hit = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), least)
-                   for x, y in zip(batch["x"], batch["y"])]
-            yield batch.loc[hit, ["a", "b"]]
+def apart_pairs(crowd: DataFrame, least: tuple[int, int], buckets: int) -> DataFrame:
+    """Pairs ``a, b`` of rows of ``crowd`` (``key, a, n, c, label``) with one key and different labels, if their sizes
+    and the tokens they can share allow the threshold.
 
-    if large_ids.isEmpty():
-        return near.distinct()
-    sets = staged(docs.join(large_ids, F.col("doc_id") == F.col("id"), "left_semi")
-                  .mapInPandas(sets_of, "id long, tokens binary"), "sets-of-large-clusters")
-    x = sets.select(F.col("id").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
-    far = pairs.join(x, "a").join(y, "b").mapInPandas(compare, "a long, b long")
-    return near.union(far).distinct()
+    Keys with the same smallest id mostly hold the same sets, so their pairs are found together and told once. The
+    sets of such keys are cut into blocks of about BLOCK_SETS, and each pair of blocks is a task's work of its own.
+    """
+    num, den = least
+    keys = (crowd.groupBy("key").agg(F.min("a").alias("first"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+            .filter("lo <> hi").select("key", "first"))
+    rows = staged(crowd.join(keys, "key"), "crowds-apart")
+    blocks = rows.groupBy("first").agg(F.ceil(F.approx_count_distinct("a") / BLOCK_SETS).cast("int").alias("blocks"))
+    own = F.pmod(F.hash("a"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = rows.join(blocks, "first").withColumn("own", own).withColumn("other", other).select(
+        "first", "key", "a", "n", "c", "label", "own", F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"))
+    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("first", "i", "j"), F.lit(buckets)))
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["first", "i", "j", "key"])
+        a, n, c, label, own, i, j = (group[x].to_numpy(np.int64) for x in ("a", "n", "c", "label", "own", "i", "j"))
+        place = group[["first", "i", "j", "key"]].to_numpy(np.int64)
+        edges = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]).any(axis=1)])).tolist()
+        kept, held = [np.zeros((0, 2), np.int64)], 0
+        for lo, hi in zip(edges, edges[1:] + [len(a)]):
+            span = slice(lo, hi)
+            if i[lo] == j[lo]:
+                x, y = np.triu_indices(hi - lo, 1)
+            else:
+                x, y = (v.ravel() for v in np.meshgrid(np.flatnonzero(own[span] == i[lo]),
+                                                       np.flatnonzero(own[span] == j[lo])))
+            x, y = x + lo, y + lo
+            ok = ((label[x] != label[y]) & (n[x] * num <= n[y] * den) & (n[y] * num <= n[x] * den)
+                  & (np.minimum(c[x], c[y]) * (num + den) >= num * (n[x] + n[y])))
+            if ok.any():
+                kept.append(np.stack([np.minimum(a[x[ok]], a[y[ok]]), np.maximum(a[x[ok]], a[y[ok]])], axis=1))
+                held += len(kept[-1])
+            if held > 2_000_000:
+                kept, held = [np.unique(np.concatenate(kept), axis=0)], 0
+        pairs = np.unique(np.concatenate(kept), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return dealt.groupBy("bucket").applyInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (75, 100), id_col: str = "doc_id",
@@ -337,30 +363,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (7
     def ordered(df: DataFrame) -> DataFrame:
         return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
 
-    sizes = rows.select("doc_id", "n")
     pairs = found.filter("key is null").select("a", "b").distinct()
     tried = staged(ordered(to_rep(to_rep(pairs, "a"), "b")), "pairs")
-    links = staged(verified(docs, tried, sizes, words, least), "verified")
+    links = staged(verified(docs, tried, words, least), "verified")
 
     # under keys with many sets, pairs that links have not joined yet are compared too
     crowd = to_rep(found.filter("key is not null").withColumnRenamed("b", "n"), "a").distinct()
     labels = components(links)
     crowd = staged(crowd.join(labels, F.col("a") == F.col("id"), "left").select(
         "key", "a", "n", "c", F.coalesce("label", "a").alias("label")), "crowds")
-    apart = (crowd.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-             .filter("lo <> hi").select("key"))
-    crowd = staged(crowd.join(apart, "key", "left_semi"), "crowds-apart")
-    if not crowd.isEmpty():
-        other = crowd.select("key", F.col("a").alias("b"), F.col("n").alias("n2"), F.col("c").alias("c2"),
-                             F.col("label").alias("label2"))
-        num, den = least
-        more = ordered(crowd.join(other, "key").filter(
-            (F.col("label") < F.col("label2")) & (F.col("n") * num <= F.col("n2") * den)
-            & (F.col("n2") * num <= F.col("n") * den)
-            & (F.least("c", "c2") * (num + den) >= (F.col("n") + F.col("n2")) * num)).select("a", "b").distinct())
-        more = staged(more.join(tried, ["a", "b"], "left_anti"), "more-pairs")
-        links = staged(links.union(verified(docs, more, sizes, words, least)), "all-verified")
-        labels = components(links)
+    more = ordered(apart_pairs(crowd, least, buckets))
+    more = staged(more.join(tried, ["a", "b"], "left_anti"), "more-pairs")
+    if not more.isEmpty():
+        bridges = staged(verified(docs, more, words, least), "bridges")
+        if not bridges.isEmpty():
+            labels = components(links.union(bridges))
     named = groups.join(labels, F.col("rep") == F.col("id"), "left").select(
         "sign", "size", F.coalesce("label", "rep").alias("component_id"))
     return attach_groups(rows, staged(named, "named-sets"), "sign", "size", "doc_id").select(

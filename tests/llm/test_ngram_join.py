@@ -63,6 +63,8 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, seed, small):
     monkeypatch.setattr(ngram_join, "SMALL_RUN", small)
     monkeypatch.setattr(ngram_join, "REPORT_FROM", 2)
     monkeypatch.setattr(ngram_join, "FREQUENT_FROM", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 10 * small)
+    monkeypatch.setattr(ngram_join, "BLOCK_PAIRS", 5)
     rows = corpus(seed)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, a string, n int")
     got = near_duplicates(docs.repartition(3)).collect()
