@@ -586,20 +586,21 @@ def inventory_supply_rows(t: Inputs) -> DataFrame:
     given = t["part"].filter("p_partkey % 2 = 0").select(
         F.col("p_partkey").cast("string").alias("supply_pk"), (F.col("p_partkey") + 5).alias("pk"),
         F.lit(1).alias("allocated_quantity"), F.lit(None).cast("timestamp_ntz").alias("updated_timestamp"))
-    fact = U.inventory_supply_fact(supply, given, t["src_locations"].filter("int(location_id) < 10"))
+    fact = U.inventory_supply_fact(supply, given, t["src_locations"])
     return fact.select("supply_pk", "supply_allocation_pk", "on_hand_available", "in_transit", "location_type_id")
 
 
 @query("""SELECT DISTINCT 'EX' || CAST(l_partkey % 100 AS VARCHAR) AS exclusion_id, l_returnflag AS exclusion_level,
-  l_shipdate AS src_load_ts FROM lineitem""")
+  CASE WHEN l_linestatus = 'O' THEN l_shipdate END AS updated_at, l_shipdate AS created_at, l_shipdate AS src_load_ts
+  FROM lineitem""")
 def sku_exclusion_rows(t: Inputs) -> DataFrame:
     rows = t["lineitem"].select(
         F.concat(F.lit("EX"), (F.col("l_partkey") % 100).cast("string")).alias("exclusion_id"),
         F.col("l_returnflag").alias("exclusion_level"),
         F.when(F.col("l_linestatus") == "O", F.col("l_shipdate")).alias("updated_at"),
         F.col("l_shipdate").alias("created_at"))
-    return U.sku_exclusion_fact(rows.drop("l_linestatus")).select(
-        "exclusion_id", "exclusion_level", "src_load_ts").distinct()
+    return U.sku_exclusion_fact(rows).select(
+        "exclusion_id", "exclusion_level", "updated_at", "created_at", "src_load_ts")
 
 
 # Dimensions ----------------------------------------------------------------------------
@@ -646,31 +647,35 @@ def item_dimension_rows(t: Inputs) -> DataFrame:
     return D.item_dimension(source).select("item_pk", "max_discount_amount", "item_codes")
 
 
-@query("""SELECT s_suppkey AS location_pk, CASE s_suppkey % 3 WHEN 0 THEN 'zero' WHEN 1 THEN 'one' END
-    AS location_type_name, CASE WHEN s_suppkey % 2 = 0 THEN 'C' || CAST(s_suppkey AS VARCHAR) END
-    AS location_contact_id FROM supplier""")
+@query("""SELECT s_suppkey AS location_pk, t.r_name AS location_type_name, st.n_name AS location_status_name,
+    k.n_name AS location_sub_type_name, CASE WHEN s_suppkey % 2 = 0 THEN 'C' || CAST(s_suppkey AS VARCHAR) END
+    AS location_contact_id, CASE WHEN s_suppkey % 2 = 0 THEN c.r_name END AS location_contact_type_name
+  FROM supplier LEFT JOIN region t ON t.r_regionkey = s_suppkey % 7 LEFT JOIN nation st ON st.n_nationkey = s_nationkey
+    LEFT JOIN nation k ON k.n_nationkey = s_suppkey % 30 LEFT JOIN region c ON c.r_regionkey = s_suppkey % 6""")
 def location_dimension_rows(t: Inputs) -> DataFrame:
+    """Locations with all their names; some types, sub-types and contact types are unknown."""
     key = F.col("s_suppkey")
-    blank = t["supplier"].limit(0)
     contacts = t["supplier"].select(
         key.alias("location_pk"), F.when(key % 2 == 0, F.concat(F.lit("C"), key.cast("string"))).otherwise(
             F.concat(F.lit("Test"), key.cast("string"))).alias("location_contact_id"),
-        F.lit("m").alias("location_contact_type_id"))
-    types = t["supplier"].filter("s_suppkey in (0, 1)").select(
-        key.cast("string").alias("location_type_id"),
-        F.when(key == 0, "zero").otherwise("one").alias("location_type_name"), F.lit("d").alias("location_type_desc"))
+        (key % 6).cast("string").alias("location_contact_type_id"))
 
-    def named(name: str) -> DataFrame:
-        return blank.select(*[F.lit("").alias(f"location_{name}_{c}") for c in ("id", "name", "desc")])
+    def named(table: str, number: str, text: str, name: str) -> DataFrame:
+        return t[table].select(F.col(number).cast("string").alias(f"location_{name}_id"),
+                               F.col(text).alias(f"location_{name}_name"), F.lower(text).alias(f"location_{name}_desc"))
 
     rows = D.location_dimension({
         "locations": t["supplier"].select(key.alias("pk"), key.cast("string").alias("location_id"),
-                                          (key % 3).cast("string").alias("location_type_id"),
-                                          F.lit("1").alias("location_status_id"),
-                                          F.lit("1").alias("location_sub_type_id")),
-        "location_statuses": named("status"), "location_types": types, "location_sub_types": named("sub_type"),
-        "location_contacts": contacts, "location_contact_types": named("contact_type")})
-    return rows.select("location_pk", "location_type_name", "location_contact_id")
+                                          (key % 7).cast("string").alias("location_type_id"),
+                                          F.col("s_nationkey").cast("string").alias("location_status_id"),
+                                          (key % 30).cast("string").alias("location_sub_type_id")),
+        "location_statuses": named("nation", "n_nationkey", "n_name", "status"),
+        "location_types": named("region", "r_regionkey", "r_name", "type"),
+        "location_sub_types": named("nation", "n_nationkey", "n_name", "sub_type"),
+        "location_contacts": contacts,
+        "location_contact_types": named("region", "r_regionkey", "r_name", "contact_type")})
+    return rows.select("location_pk", "location_type_name", "location_status_name", "location_sub_type_name",
+                       "location_contact_id", "location_contact_type_name")
 
 
 @query("""SELECT n_nationkey AS org_pk, n_name AS org_id, CASE WHEN n_nationkey % 2 = 0 THEN 'P' || CAST(n_regionkey AS
@@ -686,14 +691,14 @@ def organisation_dimension_rows(t: Inputs) -> DataFrame:
 
 @query("""SELECT c.p_partkey AS pk, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS item_promo_group,
   CASE WHEN p_partkey % 4 = 0 THEN 'if' END AS item_promo_condition, CASE WHEN p_size % 2 = 0 THEN 'even' END
-  AS promo_type_desc FROM part c""")
+  AS promo_type_desc, CASE WHEN p_partkey % 3 = 0 THEN p_size END AS combo_min_units FROM part c""")
 def promotion_dimension_rows(t: Inputs) -> DataFrame:
     profile, promo = F.lit("main").alias("profile_id"), F.col("p_partkey").cast("string").alias("promo_id")
     rows = D.promotion_dimension({
         "combo_promotions": t["part"].select(profile, promo, F.col("p_partkey").alias("pk"),
                                              (F.col("p_size") % 2).cast("string").alias("promo_type")),
-        "combo_qualifiers": t["part"].limit(0).select(profile, F.col("p_partkey").alias(
-            "combo_promotion_config_pk"), F.lit("").alias("min_units")),
+        "combo_qualifiers": t["part"].filter("p_partkey % 3 = 0").select(
+            profile, F.col("p_partkey").alias("combo_promotion_config_pk"), F.col("p_size").alias("min_units")),
         "item_promotions": t["part"].filter("p_partkey % 2 = 0").select(
             profile, promo, F.col("p_partkey").alias("pk"), F.col("p_name").alias("promo_group")),
         "item_qualifiers": t["part"].filter("p_partkey % 4 = 0").select(
@@ -701,7 +706,7 @@ def promotion_dimension_rows(t: Inputs) -> DataFrame:
             F.lit("q").alias("qualifier_desc")),
         "promotion_types": t["region"].filter("r_regionkey = 0").select(
             profile, F.lit("0").alias("promo_type_id"), F.lit("even").alias("description"))})
-    return rows.select("pk", "item_promo_group", "item_promo_condition", "promo_type_desc")
+    return rows.select("pk", "item_promo_group", "item_promo_condition", "promo_type_desc", "combo_min_units")
 
 
 # Availability ----------------------------------------------------------------------------
