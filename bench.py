@@ -25,7 +25,9 @@ HEADLINES = (
     "pack_lines_per_order", "fan_out_keeping_parents", "union_arrays", "device_class_breakdown",
     "build_sellable_keys", "guard_stock_parts", "upsert_orders", "upsert_newer_events", "state_history",
     "type2_merge", "quality_results", "search_all_texts", "network_feed_rows", "publish_location_rows",
-    "order_line_mart_rows", "tender_rows_published",
+    "order_line_mart_rows", "tender_rows_published", "order_header_mart_rows", "consignment_mart_rows",
+    "returns_mart_rows", "order_header_fact_rows", "order_line_fact_rows", "payment_line_fact_rows",
+    "fulfilment_status_history", "stream_latest_events",
 )
 STANDINS = ("headers", "lines", "payments", "details", "products", "items", "places", "stores", "journal",
             "src_network", "src_location_feed")

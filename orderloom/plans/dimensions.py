@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.text import status_or_null
 from orderloom.operators.joins import prefixed
 from orderloom.operators.latest import latest_per_key, newest
 from orderloom.operators.nested import with_json_fields
@@ -115,9 +114,3 @@ def promotion_dimension(tables: Tables) -> DataFrame:
           if c not in ("profile_id", "combo_promotion_config_pk", "pk")])
     return (tables["combo_promotions"].join(combined, ["profile_id", "pk"], "left")
             .join(items, ["profile_id", "promo_id"], "left").join(types, ["profile_id", "promo_type"], "left"))
-
-
-def status_texts(statuses: DataFrame, process: str) -> DataFrame:
-    """Status number to text for one process."""
-    return statuses.filter(F.lower("process_type_id") == process).select(
-        status_or_null("status").alias("status"), "description")

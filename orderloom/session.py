@@ -37,13 +37,14 @@ def build_session(app_name: str = "orderloom", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it gets a folder of its own.
+    Only a local session, of one process, may do without the setting; it gets a folder of its own. The setting is
+    taken at its word: a ``file:`` path on a cluster must be a share that is mounted everywhere.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="orderloom-")
