@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import staged, text_or_empty
-from orderloom.llm.words import byte_blocks, run_hashes, word_hashes
+from orderloom.llm.words import byte_blocks, mixed, run_hashes, word_hashes
 
 GRAM = 6
 FLUSH_WORDS = 4_000_000  # words after which a task hands on what it has gathered
 BUCKETS_PER_PARTITION = 4
-# a row is either an index entry (keys and their owners) or, with `doc_id` set, something found about a document
-ROWS = "bucket long, keys binary, docs binary, starts binary, counts binary, doc_id long, found binary"
+# index entries of a bucket (keys and their owners) or, without keys, places that are found already
+ROWS = "bucket long, keys binary, docs binary, starts binary, counts binary"
+FOUND = "bucket long, docs binary, starts binary"
 
 
 def anchors_of(words: np.ndarray, counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,18 +58,15 @@ def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _found_rows(docs: np.ndarray, places: np.ndarray, buckets: int) -> pd.DataFrame:
-    """One row per document, with its places in order."""
-    by = np.lexsort((places, docs))
-    docs, places = docs[by], places[by].astype(np.int32)
-    ids, (found,) = _packed_by(docs, places)
-    return pd.DataFrame({"bucket": [i % buckets for i in ids], "keys": None, "docs": None, "starts": None,
-                         "counts": None, "doc_id": ids, "found": found})
+    """Places by bucket of their document."""
+    bucket = _bucket_of(mixed(docs.view(np.uint64)), buckets)
+    by = np.lexsort((places, docs, bucket))
+    names, (d, s) = _packed(bucket[by], docs[by], places[by].astype(np.int32))
+    return pd.DataFrame({"bucket": names, "docs": d, "starts": s})
 
 
-def _packed_by(docs: np.ndarray, *columns: np.ndarray) -> tuple[list[int], list[list[bytes]]]:
-    edges = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])).tolist() if len(docs) else []
-    spans = list(zip(edges, edges[1:] + [len(docs)]))
-    return docs[edges].tolist(), [[c[a:b].tobytes() for a, b in spans] for c in columns]
+def _joined(values: pd.Series, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(v, kind) for v in values)])
 
 
 def _hashed(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, slice]]:
@@ -92,14 +90,13 @@ def anchor_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             first = np.concatenate([[True], keys[1:] != keys[:-1]])
             again = ~first | np.concatenate([~first[1:], [False]])
             if again.any():
-                yield _found_rows(owners[again], places[again], buckets)
+                yield _found_rows(owners[again], places[again], buckets).assign(keys=None, counts=None)
             keys, owners, places, owned = keys[first], owners[first], places[first], ~again[first]
             bucket = _bucket_of(keys, buckets)
             by = np.argsort(bucket, kind="stable")
             names, (k, d, s, c) = _packed(bucket[by], keys[by], owners[by], places[by].astype(np.int32),
                                           owned[by].astype(np.int8))
-            yield pd.DataFrame({"bucket": names, "keys": k, "docs": d, "starts": s, "counts": c, "doc_id": None,
-                                "found": None})
+            yield pd.DataFrame({"bucket": names, "keys": k, "docs": d, "starts": s, "counts": c})
 
         for batch in batches:
             for words, counts, ids, _ in _hashed(batch):
@@ -122,22 +119,33 @@ def anchor_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
 def repeated_anchors(index: DataFrame, buckets: int) -> DataFrame:
     """``doc_id, found``: places of anchors that occur more than once."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        known = group[group["doc_id"].notna()]
-        entries = group[group["doc_id"].isna()]
-        parts = [known[["doc_id", "found"]].astype({"doc_id": "int64"})]
-        if len(entries):
-            keys = np.concatenate([np.frombuffer(x, np.uint64) for x in entries["keys"]])
-            docs = np.concatenate([np.frombuffer(x, np.int64) for x in entries["docs"]])
-            starts = np.concatenate([np.frombuffer(x, np.int32) for x in entries["starts"]])
-            owned = np.concatenate([np.frombuffer(x, np.int8) for x in entries["counts"]]) > 0
-            by = np.argsort(keys, kind="stable")
-            keys, docs, starts, owned = keys[by], docs[by], starts[by], owned[by]
-            same = keys[1:] == keys[:-1]
-            live = owned & (np.concatenate([[False], same]) | np.concatenate([same, [False]]))
-            parts.append(_found_rows(docs[live], starts[live], buckets)[["doc_id", "found"]])
-        return pd.concat(parts)
+        known, entries = group[group["keys"].isna()], group[group["keys"].notna()]
+        keys, owned = _joined(entries["keys"], np.uint64), _joined(entries["counts"], np.int8) > 0
+        docs, starts = _joined(entries["docs"], np.int64), _joined(entries["starts"], np.int32)
+        by = np.argsort(keys, kind="stable")
+        keys, docs, starts, owned = keys[by], docs[by], starts[by], owned[by]
+        same = keys[1:] == keys[:-1]
+        live = np.zeros(len(keys), bool)
+        live[1:] |= same
+        live[:-1] |= same
+        live &= owned
+        return _found_rows(np.concatenate([docs[live], _joined(known["docs"], np.int64)]),
+                           np.concatenate([starts[live], _joined(known["starts"], np.int32)]), buckets)
+
+    return _by_document(index.groupBy("bucket").applyInPandas(run, FOUND))
+
+
+def _by_document(found: DataFrame) -> DataFrame:
+    """One row per document: its places in order, as 32-bit numbers."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        docs, places = _joined(group["docs"], np.int64), _joined(group["starts"], np.int32)
+        by = np.lexsort((places, docs))
+        docs, places = docs[by], places[by]
+        edges = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])).tolist()
+        return pd.DataFrame({"doc_id": docs[edges], "found": [
+            places[a:b].tobytes() for a, b in zip(edges, edges[1:] + [len(docs)])]})
 
-    return index.groupBy("bucket").applyInPandas(run, "doc_id long, found binary")
+    return found.groupBy("bucket").applyInPandas(run, "doc_id long, found binary")
 
 
 def window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
@@ -154,7 +162,7 @@ def window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
             later = (owners != owners[head]) | (starts != starts[head])
             if later.any():
-                yield _found_rows(owners[later], starts[later], buckets)
+                yield _found_rows(owners[later], starts[later], buckets).assign(keys=None, counts=None)
             keys, hashes, owners, starts = keys[first], hashes[first], owners[first], starts[first]
             bucket = _bucket_of(keys, buckets)
             by = np.lexsort((starts, owners, bucket))
@@ -166,8 +174,7 @@ def window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             size = np.diff(at, append=len(new)).astype(np.int32)
             names, (k,) = _packed(bucket, hashes)
             _, (d, s, c) = _packed(bucket[at], owners[at], starts[at].astype(np.int32), size)
-            yield pd.DataFrame({"bucket": names, "keys": k, "docs": d, "starts": s, "counts": c, "doc_id": None,
-                                "found": None})
+            yield pd.DataFrame({"bucket": names, "keys": k, "docs": d, "starts": s, "counts": c})
 
         for batch in batches:
             found = batch["found"].tolist()
@@ -176,9 +183,8 @@ def window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 ends = np.cumsum(counts)
                 begins = ends - counts
                 live = np.zeros(len(words), bool)
-                for base, lists in zip(begins.tolist(), found[block]):
-                    for places in lists:
-                        live[base + np.frombuffer(places, np.int32)] = True
+                for base, places in zip(begins.tolist(), found[block]):
+                    live[base + np.frombuffer(places, np.int32)] = True
                 chosen = live[anchor]
                 starts, anchor = starts[chosen], anchor[chosen]
                 owner = np.searchsorted(ends, starts, side="right")
@@ -196,37 +202,33 @@ def window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
 def later_windows(index: DataFrame, buckets: int) -> DataFrame:
     """``doc_id, found``: first words of windows that also start earlier."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        known = group[group["doc_id"].notna()]
-        entries = group[group["doc_id"].isna()]
-        parts = [known[["doc_id", "found"]].astype({"doc_id": "int64"})]
-        if len(entries):
-            hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in entries["keys"]])
-            docs = np.concatenate([np.frombuffer(x, np.int64) for x in entries["docs"]])
-            starts = np.concatenate([np.frombuffer(x, np.int32) for x in entries["starts"]]).astype(np.int64)
-            size = np.concatenate([np.frombuffer(x, np.int32) for x in entries["counts"]]).astype(np.int64)
-            owner = np.repeat(np.arange(len(size)), size)
-            start = starts[owner] + np.arange(len(owner)) - (np.cumsum(size) - size)[owner]
-            doc = docs[owner]
-            by = np.lexsort((start, doc, hashes))
-            hashes, doc, start = hashes[by], doc[by], start[by]
-            first = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-            head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-            later = (doc != doc[head]) | (start != start[head])
-            parts.append(_found_rows(doc[later], start[later], buckets)[["doc_id", "found"]])
-        return pd.concat(parts)
-
-    return index.groupBy("bucket").applyInPandas(run, "doc_id long, found binary")
+        known, entries = group[group["keys"].isna()], group[group["keys"].notna()]
+        hashes, docs = _joined(entries["keys"], np.uint64), _joined(entries["docs"], np.int64)
+        starts = _joined(entries["starts"], np.int32).astype(np.int64)
+        size = _joined(entries["counts"], np.int32).astype(np.int64)
+        owner = np.repeat(np.arange(len(size)), size)
+        start = starts[owner] + np.arange(len(owner)) - (np.cumsum(size) - size)[owner]
+        doc = docs[owner]
+        by = np.lexsort((start, doc, hashes))
+        hashes, doc, start = hashes[by], doc[by], start[by]
+        first = np.ones(len(hashes), bool)
+        first[1:] = hashes[1:] != hashes[:-1]
+        head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+        later = (doc != doc[head]) | (start != start[head])
+        return _found_rows(np.concatenate([doc[later], _joined(known["docs"], np.int64)]),
+                           np.concatenate([start[later], _joined(known["starts"], np.int32)]), buckets)
+
+    return _by_document(index.groupBy("bucket").applyInPandas(run, FOUND))
 
 
 def _with_found(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` with all that was found about them. A document's places are few per word of its text."""
-    lists = found.groupBy("doc_id").agg(F.collect_list("found").alias("found")).withColumnRenamed("doc_id", "_id")
-    return docs.join(lists, F.col("doc_id") == F.col("_id"), how).select("doc_id", "text", "found")
+    """Rows of ``docs`` with the places found in them."""
+    found = found.withColumnRenamed("doc_id", "_id")
+    return docs.join(found, F.col("doc_id") == F.col("_id"), how).select("doc_id", "text", "found")
 
 
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
-    """``doc_id, found``: word positions (32-bit) at which windows begin that also begin earlier; several rows may
-    name one document. ``docs`` has ``doc_id`` without nulls and ``text`` without nulls."""
+    """``doc_id, found``: word positions (32-bit) at which windows begin that also begin earlier. ``docs`` has ``doc_id`` without nulls and ``text`` without nulls."""
     if window < GRAM:
         raise ValueError(f"a window needs {GRAM} words")
     buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -254,14 +256,14 @@ def drop_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc, text, lists in zip(batch["doc_id"], batch["text"], batch["found"]):
+            for doc, text, places in zip(batch["doc_id"], batch["text"], batch["found"]):
                 words = text.encode().split()
                 steps = np.zeros(len(words) + window + 1, np.int64)
-                for places in lists if lists is not None else ():
-                    at = np.frombuffer(places, np.int32)
+                if places is not None:
+                    at = np.unique(np.frombuffer(places, np.int32))
                     at = at[at < len(words)]
-                    np.add.at(steps, at, 1)
-                    np.add.at(steps, at + window, -1)
+                    steps[at] += 1
+                    steps[at + window] -= 1
                 gone = np.cumsum(steps[:len(words)]) > 0
                 kept = b" ".join([words[i] for i in np.flatnonzero(~gone)] if gone.any() else words)
                 row = [None if pd.isna(doc) else int(doc), len(words), int(gone.sum()),
