@@ -284,7 +284,7 @@ def keep_identified(docs: DataFrame, least: float = 0.4, id_col: str = "doc_id",
     without letters and mixtures in which no language reaches that. A null language becomes the predicted one."""
     found = staged(identify(docs, None, id_col, text_col, lang_col).filter(
         (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(
-        F.col("doc_id").alias("_found_id"), "lang_pred").groupBy("_found_id").agg(F.min("lang_pred").alias("_lang")),
+        F.col("doc_id").alias("_found_id"), "lang_pred").groupBy("_found_id").agg(F.min("lang_pred").alias("_found_lang")),
         "identified")
-    kept = docs.join(found, docs[id_col] == found["_found_id"]).withColumn(lang_col, F.coalesce(lang_col, "_lang"))
+    kept = docs.join(found, docs[id_col] == found["_found_id"]).withColumn(lang_col, F.coalesce(lang_col, "_found_lang"))
     return kept.select(*docs.columns)

@@ -63,20 +63,22 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, temp
 
     A null source is a source of its own; a null or empty text has mass 1. Rows that repeat under one id get the
     same number of copies each; a null id is hashed like the empty string. An empty table gives no rows. Columns
-    that begin with ``_`` and bear the names above are replaced; other columns pass unchanged.
+    that bear the names above are replaced; those that begin with ``_mix_`` may not be there; others pass unchanged.
     """
     own = ["_copy", "_copies", "_rate", "_shuffle"]
     docs = docs.drop(*own)
     rates = source_rates(docs, weights, temper, budget, source_col, text_col)
-    rates = staged(rates.select(F.col("source").alias("_r_source"), F.col("rate").alias("_rate"), "cdf"), "rates")
-    dealt = rates.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rates = staged(rates.select(F.col("source").alias("_mix_source"), F.col("rate").alias("_rate"),
+                                F.col("cdf").alias("_mix_cdf")), "rates")
+    dealt = rates.withColumn("_mix_block", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     id_text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    rows = (docs.withColumn("_id", id_text).withColumn("_u", uniform(seed, "_id"))
-            .withColumn("_salt", F.pmod(F.hash("_id"), F.lit(SALTS))))
-    met = rows.join(dealt, F.col(source_col).eqNullSafe(F.col("_r_source")) & (F.col("_salt") == F.col("_r_salt")))
-    copies = F.size(F.filter("cdf", lambda p: p <= F.col("_u")))
+    rows = (docs.withColumn("_mix_id", id_text).withColumn("_mix_at", uniform(seed, "_mix_id"))
+            .withColumn("_mix_salt", F.pmod(F.hash("_mix_id"), F.lit(SALTS))))
+    same = F.col(source_col).eqNullSafe(F.col("_mix_source")) & (F.col("_mix_salt") == F.col("_mix_block"))
+    met = rows.join(dealt, same)
+    copies = F.size(F.filter("_mix_cdf", lambda p: p <= F.col("_mix_at")))
     out = (met.withColumn("_copies", copies).filter("_copies > 0")
            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-           .withColumn("_shuffle", uniform(seed + "/order", "_id", "_copy")))
+           .withColumn("_shuffle", uniform(seed + "/order", "_mix_id", "_copy")))
     out = out.select(*docs.columns, *own)
     return out.orderBy("_shuffle", id_col, "_copy") if shuffle else out

@@ -115,7 +115,8 @@ def test_groups_meet_hot_and_cold(spark, monkeypatch):
 def frame(spark):
     rows = [(i, "word " * (i % 50), "big" if i % 3 else f"s{i % 4}", "x") for i in range(3000)]
     rows += [(5000, None, None, "x"), (5001, "abc", None, "x"), (None, "null id", "s1", "x"), (7, "twice", "s1", "x")]
-    return spark.createDataFrame(rows, "doc_id long, text string, source string, _copies string"), rows
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _copies string")
+    return docs.withColumns({"cdf": F.lit(0), "rate": F.lit("r"), "_id": F.lit(1), "_salt": F.lit(2)}), rows
 
 
 def test_copies_follow_the_rates(spark):
