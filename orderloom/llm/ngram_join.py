@@ -10,9 +10,11 @@ if their first shared token is frequent, all they share are, and prefixes longer
   of the larger set; each set is indexed for every m that its partners can have.
 
 Each entry of the index says how many of its set's tokens can be shared if this key is the first one that a pair shares:
-those from it on, or, as two of the first m + 1 are of one class, m and those from the later of the two on. A pair meets only where that is enough for the threshold.
+those from it on, or, as two of the first m + 1 are of one class, m and those from the later of the two on. A pair
+meets only where that is enough for the threshold.
 
-Sets that meet in the index are verified on all their tokens. Which tokens count as frequent only decides the work
+Sets that meet in the index are compared by a short bitmap, which can only rule out, and then verified on all their
+tokens. Which tokens count as frequent only decides the work
 and never the result.
 """
 
@@ -37,6 +39,7 @@ FREQUENT_LIMIT = 200_000  # the most frequent ones travel to every task: 1.8 MB
 FLUSH_POSTINGS = 1_000_000
 SMALL_RUN = 8  # sets under one key up to which all its pairs are candidates at once
 BUCKETS_PER_PARTITION = 4
+SIGN_BITS = 1024
 BLOCK_SETS = 1_000  # sets of a crowd that are compared with each other, or with another block, at a time
 BLOCK_PAIRS = 500  # partners of a document that one task compares with it
 
@@ -69,8 +72,15 @@ def _blocks(batch: pd.DataFrame, words: int) -> Iterator[tuple[list, list[np.nda
             start, size = i + 1, 0
 
 
+def _bits(tokens: np.ndarray) -> bytes:
+    marks = np.zeros(SIGN_BITS, bool)
+    marks[(tokens % np.uint64(SIGN_BITS)).astype(np.int64)] = True
+    return np.packbits(marks).tobytes()
+
+
 def describe(docs: DataFrame, words: int) -> DataFrame:
-    """Two kinds of rows: ``doc_id, n, sign`` per document, and ``token, copies`` per token that a task saw often."""
+    """Two kinds of rows: ``doc_id, n, sign, bits`` per document, and ``token, copies`` per token that a task saw
+    often. ``bits`` marks the remainders of a set's tokens when divided by SIGN_BITS."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[bytes] = set()
         kept: list[np.ndarray] = []
@@ -79,14 +89,16 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
         def counted() -> pd.DataFrame:
             tokens, copies = np.unique(np.concatenate(kept), return_counts=True)
             often = copies >= REPORT_FROM
-            return pd.DataFrame({"doc_id": None, "n": None, "sign": None, "token": tokens[often].view(np.int64),
-                                 "copies": copies[often]})
+            return pd.DataFrame({"doc_id": None, "n": None, "sign": None, "bits": None,
+                                 "token": tokens[often].view(np.int64), "copies": copies[often]})
 
         for batch in batches:
             for ids, sets in _blocks(batch, words):
                 signs = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="Int64"), "n": [len(s) for s in sets],
-                                    "sign": pd.Series([s and s.hex() for s in signs], dtype=object), "token": None, "copies": None})
+                                    "sign": pd.Series([s and s.hex() for s in signs], dtype=object),
+                                    "bits": pd.Series([_bits(s) for s in sets], dtype=object),
+                                    "token": None, "copies": None})
                 for s, sign in zip(sets, signs):
                     if sign and sign not in seen:
                         seen.add(sign)
@@ -98,7 +110,7 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
         if kept:
             yield counted()
 
-    return docs.mapInPandas(run, "doc_id long, n long, sign string, token long, copies long")
+    return docs.mapInPandas(run, "doc_id long, n long, sign string, bits binary, token long, copies long")
 
 
 def _prefix_keys(tokens: np.ndarray, classes: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +145,8 @@ def _prefix_keys(tokens: np.ndarray, classes: np.ndarray, least: tuple[int, int]
 
 def postings(docs: DataFrame, words: int, least: tuple[int, int], frequent: tuple[np.ndarray, np.ndarray],
              buckets: int) -> DataFrame:
-    """The index, as ``bucket`` and arrays of keys, ids, set sizes and tokens to share; equal sets of a task are indexed once."""
+    """The index, as ``bucket`` and arrays of keys, ids, set sizes and tokens to share; equal sets of a task are
+    indexed once."""
     common = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,7 +200,8 @@ def postings(docs: DataFrame, words: int, least: tuple[int, int], frequent: tupl
 
 def meetings(index: DataFrame, least: tuple[int, int]) -> DataFrame:
     """Candidates from the index: ``key`` null and a pair ``a, b`` of ids; or, under a key with many sets, ``key``,
-    the id ``a``, its size ``b`` and the tokens it can share, ``c``. Of the latter, neighbours in size and each with the smallest id are pairs too."""
+    the id ``a``, its size ``b`` and the tokens it can share, ``c``. Of the latter, neighbours in size and each
+    with the smallest id are pairs too."""
     num, den = least
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -243,6 +257,26 @@ def _similar(x: np.ndarray, y: np.ndarray, least: tuple[int, int]) -> bool:
     return shared > 0 and den * shared >= num * (len(x) + len(y) - shared)
 
 
+def possible(pairs: DataFrame, described: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """The ``pairs`` that their bits do not rule out: every mark that one set alone has is a token the other lacks."""
+    num, den = least
+    sets = described.filter("token is null and doc_id is not null").select("doc_id", "n", "bits")
+    x = sets.toDF("a", "na", "x")
+    y = sets.toDF("b", "nb", "y")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, y = (np.frombuffer(b"".join(batch[c]), np.uint64).reshape(len(batch), -1) for c in ("x", "y"))
+            na, nb = batch["na"].to_numpy(np.int64), batch["nb"].to_numpy(np.int64)
+            shared = np.minimum(na - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64),
+                                nb - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+            yield batch.loc[(num + den) * shared >= num * (na + nb), ["a", "b"]]
+
+    return pairs.join(x, "a").join(y, "b").mapInPandas(run, "a long, b long").distinct()
+
+
 def verified(docs: DataFrame, pairs: DataFrame, words: int, least: tuple[int, int]) -> DataFrame:
     """The ``pairs`` (a < b) of documents whose sets reach the threshold.
 
@@ -252,8 +286,8 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, least: tuple[int, in
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK_PAIRS).cast("int").alias("n"))
     heads = blocks.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"),
                           F.lit(0).alias("role"))
-    members = pairs.join(blocks, "a").select(F.col("b").alias("id"), "a", F.pmod(F.hash("b"), F.col("n")).alias("block"),
-                                             F.lit(1).alias("role"))
+    members = pairs.join(blocks, "a").select(
+        F.col("b").alias("id"), "a", F.pmod(F.hash("b"), F.col("n")).alias("block"), F.lit(1).alias("role"))
     wanted = staged(heads.unionByName(members), "wanted")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,7 +308,8 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, least: tuple[int, in
                     i += 1
             yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
-    met = docs.join(wanted, F.col("doc_id") == F.col("id")).select("a", "block", "role", "doc_id", "text")
+    # documents to compare grow with the documents, so they are not broadcast, also while they are few
+    met = docs.join(wanted.hint("merge"), F.col("doc_id") == F.col("id")).select("a", "block", "role", "doc_id", "text")
     return (met.repartition("a", "block").sortWithinPartitions("a", "block", "role")
             .mapInPandas(compare, "a long, b long").distinct())
 
@@ -365,7 +400,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (7
 
     pairs = found.filter("key is null").select("a", "b").distinct()
     tried = staged(ordered(to_rep(to_rep(pairs, "a"), "b")), "pairs")
-    links = staged(verified(docs, tried, words, least), "verified")
+    links = staged(verified(docs, staged(possible(tried, described, least), "possible"), words, least), "verified")
 
     # under keys with many sets, pairs that links have not joined yet are compared too
     crowd = to_rep(found.filter("key is not null").withColumnRenamed("b", "n"), "a").distinct()
@@ -373,7 +408,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (7
     crowd = staged(crowd.join(labels, F.col("a") == F.col("id"), "left").select(
         "key", "a", "n", "c", F.coalesce("label", "a").alias("label")), "crowds")
     more = ordered(apart_pairs(crowd, least, buckets))
-    more = staged(more.join(tried, ["a", "b"], "left_anti"), "more-pairs")
+    more = staged(possible(more.join(tried, ["a", "b"], "left_anti"), described, least), "more-pairs")
     if not more.isEmpty():
         bridges = staged(verified(docs, more, words, least), "bridges")
         if not bridges.isEmpty():
