@@ -12,7 +12,7 @@ from pyspark.sql import Window
 
 from orderloom.llm.common import staged
 
-TABLES, PROBES, HASHES, SEED = 8, 10, 1, 7
+TABLES, PROBES, HASHES, SEED = 8, 16, 1, 7
 CHUNK = 20_000  # vectors, and queries, that one task compares at a time; fuller buckets are dealt to several tasks
 SMALL_BAND = 2_000  # vectors up to which a band of its own length is one bucket: hashing finds the few among many
 BAND = 1.25  # the longest vectors of a band are so many times as long as its shortest
@@ -136,7 +136,8 @@ def best_of_buckets(index: DataFrame, queries: DataFrame, kind: str, k: int) ->
                                  .alias("bq")), "buckets")
 
     def dealt(own: str, other: str) -> tuple[Column, Column]:
-        return (F.pmod(F.xxhash64("ids"), F.col(own)).alias(own + "_at"),
+        # both sides need one type, or equal keys would be dealt to different tasks
+        return (F.pmod(F.xxhash64("ids"), F.col(own)).cast("int").alias(own + "_at"),
                 F.explode(F.sequence(F.lit(0), F.col(other).cast("int") - 1)).alias(other + "_at"))
 
     x = index.join(blocks, place).select(*place, "ids", "vectors", *dealt("bv", "bq"))
