@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -189,7 +190,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
             text = node.text
             chars[i], words[i], linked[i], tags[i] = len(text), text.count(" ") + 1, node.link_chars, node.inline_tags
             ends[i], commas[i], segments[i] = len(SENTENCE_END.findall(text)), text.count(","), 1
-            digits[i] = sum(map(str.isdigit, text[:200]))
+            digits[i] = sum(map(str.isdigit, text))
             signs[i] = sum(text.count(c) for c in "©|·»›•")
         else:
             blocks[i], paragraphs[i], tags[i] = 1, node.tag == "p", 1
@@ -201,6 +202,11 @@ def features(nodes: list[Node]) -> list[list[float]]:
         p = nodes[i].parent
         for values in (chars, words, linked, tags, ends, commas, paragraphs, blocks, segments, digits, signs):
             values[p] += values[i]
+    place, alike = [0] * n, [1] * n  # place in the family, and how many of it have the same tag
+    for node in nodes:
+        tally = Counter(nodes[c].tag for c in node.children)
+        for k, c in enumerate(node.children):
+            place[c], alike[c] = k, tally[nodes[c].tag]
     above_kind, above_group = [[0] * kinds for _ in range(n)], [[0] * groups for _ in range(n)]
     out = []
     total = max(chars[0], 1)
@@ -219,10 +225,9 @@ def features(nodes: list[Node]) -> list[list[float]]:
             for g in nodes[p].groups:
                 above_group[i][g] = 1
         family = nodes[p].children if i else [0]
-        at = family.index(i) if len(family) < 50 else min(i - family[0], len(family))
-        previous = chars[family[at - 1]] if at and at < len(family) else 0
+        at = place[i]
+        previous = chars[family[at - 1]] if at else 0
         following = chars[family[at + 1]] if at + 1 < len(family) else 0
-        like = sum(1 for c in family[:50] if nodes[c].tag == node.tag)
         row = [0] * kinds
         if kind >= 0:
             row[kind] = 1
@@ -231,7 +236,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
             node.depth, math.log1p(chars[i]), math.log1p(words[i]), linked[i] / max(chars[i], 1), tags[i] / w,
             ends[i] / w, commas[i] / w, chars[i] / w, math.log1p(paragraphs[i]), math.log1p(blocks[i]),
             math.log1p(segments[i]), math.log1p(len(node.children)), at / max(len(family), 1),
-            math.log1p(len(family)), like / max(len(family), 1), chars[i] / max(chars[p], 1), chars[i] / total,
+            math.log1p(len(family)), alike[i] / max(len(family), 1), chars[i] / max(chars[p], 1), chars[i] / total,
             before[i] / total, math.log1p(previous), math.log1p(following), digits[i] / max(chars[i], 1),
             signs[i] / w])
     return out

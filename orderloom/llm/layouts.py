@@ -50,7 +50,12 @@ class Layout:
             attribute += f' {self.rng.choice(["class", "class", "class", "id"])}="{name}"'
         return f"<{tag}{attribute}>{inner}</{tag}>"
 
+    def parts(self, n: int) -> int:
+        """``n``, or on a few pages hundreds: long articles, archives and threads."""
+        return self.rng.randint(50, 400) if self.rng.random() < 0.015 else n
+
     def links(self, n: int) -> str:
+        n = self.parts(n)
         items = [f'<a href="/{self.word()}">{self.rng.choice([self.word(), self.words(1, 3), self.word() + self.rng.choice('.,:')])}</a>' for _ in range(n)]
         if self.rng.random() < 0.7:
             return "<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>"
@@ -119,7 +124,7 @@ class Layout:
             self.named("li", f"<p>{self.any_text()}</p>", ["comment", "reply"], 0.7),
             self.named("article", f"<p>{self.any_text()}</p>", ["comment"], 1.0),
             f"<p>{self.any_text()}</p>"])
-        inner = "".join(one() for _ in range(self.rng.randint(1, 5)))
+        inner = "".join(one() for _ in range(self.parts(self.rng.randint(1, 5))))
         inner = (f"<h3>{self.words(1, 2)}</h3>" if self.rng.random() < 0.6 else "") + inner
         return self.named(self.rng.choice(["section", "div", "ol", "div"]), inner,
                           ["comments", "comment-list", "replies", "discussion", "disqus_thread", "reviews"], 1.0)
@@ -149,7 +154,7 @@ class Layout:
     def body(self) -> str:
         out, careless = [], self.rng.random() < 0.25
         plain = self.rng.random() < 0.1
-        for _ in range(self.rng.choice([1, 2, 3, 5, 8, 14])):
+        for _ in range(self.parts(self.rng.choice([1, 2, 3, 5, 8, 14]))):
             r = self.rng.random()
             if plain:
                 out.append(f"<div>{self.paragraph()}</div>")

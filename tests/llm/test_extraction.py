@@ -49,6 +49,29 @@ def test_every_node_has_all_features():
         assert {len(r) for r in features(parse(Layout(i).page()))} == {len(FEATURE_NAMES)}
 
 
+@pytest.mark.parametrize("n", [3, 49, 50, 51, 60, 400])
+def test_sibling_and_text_features_do_not_depend_on_size(n):
+    page = "<div>" + "".join(f"<p>{'7' * (i + 1)}{'x' * (2 * i + 2)}</p>" if i % 3 else f"<h3>{'x' * (i + 1)}</h3>"
+                             for i in range(n)) + "</div>"
+    nodes = parse(page)
+    rows = [dict(zip(FEATURE_NAMES, r)) for r in features(nodes)]
+    family = nodes[1].children
+    assert len(family) == n
+    size = [3 * (i + 1) if i % 3 else i + 1 for i in range(n)]
+    heads = len(range(0, n, 3))
+    for i, c in enumerate(family):
+        assert rows[c]["sibling_at"] == i / n
+        assert rows[c]["like_siblings"] == (n - heads if i % 3 else heads) / n
+        assert rows[c]["previous"] == pytest.approx(np.log1p(size[i - 1] if i else 0))
+        assert rows[c]["next"] == pytest.approx(np.log1p(size[i + 1] if i + 1 < n else 0))
+        assert rows[c]["digits"] == pytest.approx(1 / 3 if i % 3 else 0)
+
+
+def test_some_made_up_pages_have_hundreds_of_siblings():
+    widest = [max(len(n.children) for n in parse(Layout(i).page())) for i in range(1000)]
+    assert sum(w >= 100 for w in widest) >= 20
+
+
 def test_decoding_is_the_best_without_contradiction():
     rng = random.Random(1)
     for _ in range(40):
