@@ -145,9 +145,17 @@ def best_of_buckets(index: DataFrame, queries: DataFrame, kind: str, k: int) ->
     cell = [*place, "bv_at", "bq_at"]
 
     def unpacked(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        # by id, and rows that are the same once
         ids = np.concatenate([np.frombuffer(b, np.int64) for b in group["ids"]])
-        flat = np.concatenate([np.frombuffer(b, kind) for b in group["vectors"]])
-        return ids, flat.reshape(len(ids), -1).astype(np.float64)
+        x = np.concatenate([np.frombuffer(b, kind) for b in group["vectors"]]).reshape(len(ids), -1)
+        by = np.argsort(ids, kind="stable")
+        ids, x = ids[by], x[by]
+        if (ids[1:] == ids[:-1]).any():
+            row = np.concatenate([ids.view(np.uint8).reshape(len(ids), -1),
+                                  np.ascontiguousarray(x).view(np.uint8).reshape(len(ids), -1)], axis=1)
+            once = np.sort(np.unique(row.view(f"V{row.shape[1]}").ravel(), return_index=True)[1])
+            ids, x = ids[once], x[once]
+        return ids, x.astype(np.float64)
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
@@ -155,15 +163,27 @@ def best_of_buckets(index: DataFrame, queries: DataFrame, kind: str, k: int) ->
         if len(left) and len(right):
             vec_ids, vectors = unpacked(left)
             query_ids, points = unpacked(right)
+            # the k best are ids and not rows: an id counts by the best of its rows
+            starts = np.flatnonzero(np.concatenate([[True], vec_ids[1:] != vec_ids[:-1]]))
+            copies = np.diff(np.append(starts, len(vec_ids)))
             for a in range(0, len(points), 256):
                 own = query_ids[a:a + 256]
                 scores = points[a:a + 256] @ vectors.T
                 scores[own[:, None] == vec_ids[None, :]] = -np.inf
-                top = min(k, len(vec_ids))
-                least = np.partition(scores, len(vec_ids) - top, axis=1)[:, len(vec_ids) - top]
-                row, col = np.nonzero((scores >= least[:, None] - NEAR_TIE) & np.isfinite(scores))
+                best = scores if len(starts) == len(vec_ids) else np.maximum.reduceat(scores, starts, axis=1)
+                top = min(k, len(starts))
+                least = np.partition(best, len(starts) - top, axis=1)[:, len(starts) - top]
+                floor = np.maximum(best, least[:, None]) - NEAR_TIE
+                if best is not scores:
+                    floor = np.repeat(floor, copies, axis=1)
+                row, col = np.nonzero((scores >= floor) & np.isfinite(scores))
                 # a pair's score must not depend on the block it was found in
                 exact = np.einsum("ij,ij->i", points[a + row], vectors[col])
+                by = np.lexsort((-exact, vec_ids[col], row))
+                row, col, exact = row[by], col[by], exact[by]
+                first = np.ones(len(row), bool)
+                first[1:] = (row[1:] != row[:-1]) | (vec_ids[col[1:]] != vec_ids[col[:-1]])
+                row, col, exact = row[first], col[first], exact[first]
                 by = np.lexsort((vec_ids[col], -exact, row))
                 row, col, exact = row[by], col[by], exact[by]
                 keep = np.arange(len(row)) - np.searchsorted(row, row) < k

@@ -76,6 +76,29 @@ def test_odd_rows_and_few_candidates(spark):
     assert recall(spark, rows) == 1.0
 
 
+@pytest.mark.parametrize("kind,chunk", [("equal", 20_000), ("twice", 20_000), ("different", 25)])
+def test_copies_of_an_id_take_one_place(spark, monkeypatch, kind, chunk):
+    monkeypatch.setattr(neighbours, "CHUNK", chunk)
+    rng = np.random.default_rng(3)
+
+    def near(n, noise, of):
+        x = of + noise * rng.normal(size=(n, 32))
+        return (x / np.linalg.norm(x, axis=1, keepdims=True)).tolist()
+
+    base = rng.normal(size=32)
+    base /= np.linalg.norm(base)
+    rows = list(enumerate(near(20, 0.001, base)))
+    if kind == "twice":
+        rows += rows
+    else:
+        rows += [(1, v) for v in 60 * [rows[0][1]]] if kind == "equal" else [(1, v) for v in near(60, 1e-5, rows[0][1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r["rank"], r.vec_id, r.score) for r in nearest(frame, F.col("vec_id") == 0, 10).collect())
+    want = brute(rows, lambda i: i == 0, 10)[0]
+    assert [i for _, i, _ in got] == [i for _, i in want]
+    assert [s for _, _, s in got] == pytest.approx([-s for s, _ in want], abs=1e-12)
+
+
 def test_no_vectors(spark):
     assert recall(spark, []) == 0
 
