@@ -116,13 +116,13 @@ STANDINS["src_warehouses"] = """
 SELECT DISTINCT org_id, 'W' || CAST(o_custkey % 3 AS STRING) AS warehouse_id, CAST(o_custkey % 3 AS STRING)
   AS store_number FROM {order_base}"""
 
-# Release lines of the first six lines of an order, and what became of them.
+# Release lines, and what became of them; open lines of some parts have no release, fulfilment, tracking or package yet.
 STANDINS["src_release_lines"] = f"""
 SELECT org_id, 'R' || CAST(o_orderkey AS STRING) AS release_pk, 'RL' || order_line_id AS release_line_id,
   'RLPK' || CAST(o_orderkey AS STRING) || '/' || order_line_id AS pk, order_line_id, {_LPK} AS order_line_pk,
   'AL' || order_line_id AS allocation_id, quantity, item_id,
   CASE WHEN l_suppkey % 3 = 0 THEN quantity ELSE 0 END AS cancelled_quantity, quantity AS fulfilled_quantity,
-  l_shipdate AS updated_timestamp FROM {{line_base}} WHERE l_linenumber <= 6"""
+  l_shipdate AS updated_timestamp FROM {{line_base}} WHERE l_linestatus <> 'O' OR l_partkey % 9 <> 0"""
 
 STANDINS["src_releases"] = """
 SELECT org_id, 'R' || CAST(o_orderkey AS STRING) AS pk, 'REL' || CAST(o_orderkey AS STRING) AS release_id, order_id,
@@ -146,14 +146,14 @@ SELECT org_id, {_LPK} AS order_line_pk, 'FD' || CAST(o_orderkey AS STRING) || '/
   'T' || CAST(o_orderkey AS STRING) || '/' || order_line_id AS tracking_number, 'PK' || order_line_id AS package_id,
   CASE WHEN l_partkey % 3 = 0 THEN 'DHL' END AS ship_via_id, CAST(NULL AS STRING) AS carrier_code, 'S1' AS shipment_id,
   'eta' AS eta, 'g' AS gift_card_number, 'sg' AS sgtin, 'sn' AS serial_number, l_shipdate AS src_load_ts,
-  l_shipdate AS updated_timestamp FROM {{line_base}} WHERE l_linenumber <= 4"""
+  l_shipdate AS updated_timestamp FROM {{line_base}} WHERE l_linestatus <> 'O' OR l_partkey % 4 <> 0"""
 
 STANDINS["src_tracking"] = f"""
 SELECT org_id, {_OPK} AS order_pk, 'TP' || CAST(o_orderkey AS STRING) || '/' || order_line_id AS pk,
   'T' || CAST(o_orderkey AS STRING) || '/' || order_line_id AS tracking_number, 'DELIVERED' AS package_status,
   l_shipdate AS original_est_delivery_date, l_shipdate AS scheduled_date, l_shipdate AS shipped_date,
   l_shipdate + INTERVAL '2' DAY AS delivered_date, l_shipdate AS estimated_delivery_date,
-  l_shipdate AS updated_timestamp FROM {{line_base}} WHERE l_linenumber <= 3"""
+  l_shipdate AS updated_timestamp FROM {{line_base}} WHERE l_linestatus <> 'O' OR l_partkey % 2 <> 0"""
 
 STANDINS["src_notes"] = f"""
 SELECT org_id, {_OPK} AS order_pk, {_LPK} AS order_line_pk, 'Gift To' AS note_type_id,
@@ -242,12 +242,12 @@ SELECT org_id, order_id, 'PP' || CAST(o_orderkey AS STRING) || '/' || order_line
   'REL' || CAST(o_orderkey AS STRING) AS fulfillment_id, 'PK' || order_line_id AS package_id,
   'TASK' || CAST(l_suppkey % 10 AS STRING) AS task_id, CAST(l_suppkey AS STRING) AS ship_from_location_id,
   CASE l_partkey % 3 WHEN 0 THEN '' ELSE CAST(1000 * (l_partkey % 3) AS STRING) END AS package_status,
-  l_shipdate AS src_load_ts FROM {line_base} WHERE l_linenumber <= 3"""
+  l_shipdate AS src_load_ts FROM {line_base} WHERE l_linestatus <> 'O' OR l_partkey % 2 <> 0"""
 
 STANDINS["src_package_details"] = """
 SELECT org_id, 'PP' || CAST(o_orderkey AS STRING) || '/' || order_line_id AS packages_pk,
   'PDP' || CAST(o_orderkey AS STRING) || '/' || order_line_id AS pk, 'PD' || order_line_id AS package_detail_id, item_id,
-  quantity AS quantity_qty FROM {line_base} WHERE l_linenumber <= 4"""
+  quantity AS quantity_qty FROM {line_base} WHERE l_linestatus <> 'O' OR l_partkey % 4 <> 0"""
 
 # Availability messages: parts as items, suppliers as locations, sums of quantities.
 _FEED = """
