@@ -25,8 +25,8 @@ GRAM = 6
 FLUSH_WORDS = 4_000_000  # words after which a task hands on what it has gathered
 BUCKETS_PER_PARTITION = 4
 # index entries of a bucket (keys and their owners) or, without keys, places that are found already
-ROWS = "bucket long, keys binary, docs binary, starts binary, counts binary"
-FOUND = "bucket long, docs binary, starts binary"
+ROWS = "bucket long, keys binary, docs binary, signs binary, starts binary, counts binary"
+FOUND = "bucket long, docs binary, signs binary, starts binary"
 
 
 def anchors_of(words: np.ndarray, counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,24 +57,26 @@ def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _found_rows(docs: np.ndarray, places: np.ndarray, buckets: int) -> pd.DataFrame:
+def _found_rows(docs: np.ndarray, signs: np.ndarray, places: np.ndarray, buckets: int) -> pd.DataFrame:
     """Places by bucket of their document."""
     bucket = _bucket_of(mixed(docs.view(np.uint64)), buckets)
-    by = np.lexsort((places, docs, bucket))
-    names, (d, s) = _packed(bucket[by], docs[by], places[by].astype(np.int32))
-    return pd.DataFrame({"bucket": names, "docs": d, "starts": s})
+    by = np.lexsort((places, signs, docs, bucket))
+    names, (d, g, s) = _packed(bucket[by], docs[by], signs[by], places[by].astype(np.int32))
+    return pd.DataFrame({"bucket": names, "docs": d, "signs": g, "starts": s})
 
 
 def _joined(values: pd.Series, kind: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *(np.frombuffer(v, kind) for v in values)])
 
 
-def _hashed(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, slice]]:
+def _hashed(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, slice]]:
+    """Blocks of texts: word hashes, words per text, ids and signs. A document is an id and the CRC-32 of a text, so that
+    texts that share an id are not taken for one another."""
     raw = [t.encode() for t in batch["text"]]
-    ids = batch["doc_id"].to_numpy(np.int64)
+    ids, signs = batch["doc_id"].to_numpy(np.int64), batch["sign"].to_numpy(np.int64).astype(np.uint32)
     for block in byte_blocks(raw):
         words, counts = word_hashes(raw[block])
-        yield words, counts, ids[block], block
+        yield words, counts, ids[block], signs[block], block
 
 
 def anchor_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
@@ -84,28 +86,28 @@ def anchor_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
         held, parts = 0, []
 
         def flushed() -> Iterator[pd.DataFrame]:
-            keys, owners, places = (np.concatenate(x) for x in zip(*parts))
+            keys, owners, signs, places = (np.concatenate(x) for x in zip(*parts))
             by = np.argsort(keys, kind="stable")
-            keys, owners, places = keys[by], owners[by], places[by]
+            keys, owners, signs, places = keys[by], owners[by], signs[by], places[by]
             first = np.concatenate([[True], keys[1:] != keys[:-1]])
             again = ~first | np.concatenate([~first[1:], [False]])
             if again.any():
-                yield _found_rows(owners[again], places[again], buckets).assign(keys=None, counts=None)
-            keys, owners, places, owned = keys[first], owners[first], places[first], ~again[first]
+                yield _found_rows(owners[again], signs[again], places[again], buckets).assign(keys=None, counts=None)
+            keys, owners, signs, places, owned = keys[first], owners[first], signs[first], places[first], ~again[first]
             bucket = _bucket_of(keys, buckets)
             by = np.argsort(bucket, kind="stable")
-            names, (k, d, s, c) = _packed(bucket[by], keys[by], owners[by], places[by].astype(np.int32),
-                                          owned[by].astype(np.int8))
-            yield pd.DataFrame({"bucket": names, "keys": k, "docs": d, "starts": s, "counts": c})
+            names, (k, d, g, s, c) = _packed(bucket[by], keys[by], owners[by], signs[by], places[by].astype(np.int32),
+                                             owned[by].astype(np.int8))
+            yield pd.DataFrame({"bucket": names, "keys": k, "docs": d, "signs": g, "starts": s, "counts": c})
 
         for batch in batches:
-            for words, counts, ids, _ in _hashed(batch):
+            for words, counts, ids, signs, _ in _hashed(batch):
                 grams, _, anchor = anchors_of(words, counts, window)
                 if len(anchor):
                     anchor = anchor[np.concatenate([[True], anchor[1:] != anchor[:-1]])]
                     ends = np.cumsum(counts)
                     owner = np.searchsorted(ends, anchor, side="right")
-                    parts.append((grams[anchor], ids[owner], anchor - (ends - counts)[owner]))
+                    parts.append((grams[anchor], ids[owner], signs[owner], anchor - (ends - counts)[owner]))
                 held += len(words)
                 if held >= FLUSH_WORDS and parts:
                     yield from flushed()
@@ -122,14 +124,16 @@ def repeated_anchors(index: DataFrame, buckets: int) -> DataFrame:
         known, entries = group[group["keys"].isna()], group[group["keys"].notna()]
         keys, owned = _joined(entries["keys"], np.uint64), _joined(entries["counts"], np.int8) > 0
         docs, starts = _joined(entries["docs"], np.int64), _joined(entries["starts"], np.int32)
+        signs = _joined(entries["signs"], np.uint32)
         by = np.argsort(keys, kind="stable")
-        keys, docs, starts, owned = keys[by], docs[by], starts[by], owned[by]
+        keys, docs, signs, starts, owned = keys[by], docs[by], signs[by], starts[by], owned[by]
         same = keys[1:] == keys[:-1]
         live = np.zeros(len(keys), bool)
         live[1:] |= same
         live[:-1] |= same
         live &= owned
         return _found_rows(np.concatenate([docs[live], _joined(known["docs"], np.int64)]),
+                           np.concatenate([signs[live], _joined(known["signs"], np.uint32)]),
                            np.concatenate([starts[live], _joined(known["starts"], np.int32)]), buckets)
 
     return _by_document(index.groupBy("bucket").applyInPandas(run, FOUND))
@@ -139,13 +143,15 @@ def _by_document(found: DataFrame) -> DataFrame:
     """One row per document: its places in order, as 32-bit numbers."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         docs, places = _joined(group["docs"], np.int64), _joined(group["starts"], np.int32)
-        by = np.lexsort((places, docs))
-        docs, places = docs[by], places[by]
-        edges = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])).tolist()
-        return pd.DataFrame({"doc_id": docs[edges], "found": [
+        signs = _joined(group["signs"], np.uint32)
+        by = np.lexsort((places, signs, docs))
+        docs, signs, places = docs[by], signs[by], places[by]
+        edges = np.flatnonzero(np.concatenate(
+            [[True], (docs[1:] != docs[:-1]) | (signs[1:] != signs[:-1])])[:len(docs)]).tolist()
+        return pd.DataFrame({"doc_id": docs[edges], "sign": signs[edges].astype(np.int64), "found": [
             places[a:b].tobytes() for a, b in zip(edges, edges[1:] + [len(docs)])]})
 
-    return found.groupBy("bucket").applyInPandas(run, "doc_id long, found binary")
+    return found.groupBy("bucket").applyInPandas(run, "doc_id long, sign long, found binary")
 
 
 def window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
@@ -155,30 +161,30 @@ def window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
         held, parts = 0, []
 
         def flushed() -> Iterator[pd.DataFrame]:
-            keys, hashes, owners, starts = (np.concatenate(x) for x in zip(*parts))
-            by = np.lexsort((starts, owners, hashes))
-            keys, hashes, owners, starts = keys[by], hashes[by], owners[by], starts[by]
+            keys, hashes, owners, signs, starts = (np.concatenate(x) for x in zip(*parts))
+            by = np.lexsort((starts, signs, owners, hashes))
+            keys, hashes, owners, signs, starts = keys[by], hashes[by], owners[by], signs[by], starts[by]
             first = np.concatenate([[True], hashes[1:] != hashes[:-1]])
             head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-            later = (owners != owners[head]) | (starts != starts[head])
+            later = (owners != owners[head]) | (signs != signs[head]) | (starts != starts[head])
             if later.any():
-                yield _found_rows(owners[later], starts[later], buckets).assign(keys=None, counts=None)
-            keys, hashes, owners, starts = keys[first], hashes[first], owners[first], starts[first]
+                yield _found_rows(owners[later], signs[later], starts[later], buckets).assign(keys=None, counts=None)
+            keys, hashes, owners, signs, starts = keys[first], hashes[first], owners[first], signs[first], starts[first]
             bucket = _bucket_of(keys, buckets)
-            by = np.lexsort((starts, owners, bucket))
-            bucket, hashes, owners, starts = bucket[by], hashes[by], owners[by], starts[by]
+            by = np.lexsort((starts, signs, owners, bucket))
+            bucket, hashes, owners, signs, starts = bucket[by], hashes[by], owners[by], signs[by], starts[by]
             # windows side by side in one bucket are kept as the first one and their number
             new = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (owners[1:] != owners[:-1])
-                                  | (starts[1:] != starts[:-1] + 1)])
+                                  | (signs[1:] != signs[:-1]) | (starts[1:] != starts[:-1] + 1)])
             at = np.flatnonzero(new)
             size = np.diff(at, append=len(new)).astype(np.int32)
             names, (k,) = _packed(bucket, hashes)
-            _, (d, s, c) = _packed(bucket[at], owners[at], starts[at].astype(np.int32), size)
-            yield pd.DataFrame({"bucket": names, "keys": k, "docs": d, "starts": s, "counts": c})
+            _, (d, g, s, c) = _packed(bucket[at], owners[at], signs[at], starts[at].astype(np.int32), size)
+            yield pd.DataFrame({"bucket": names, "keys": k, "docs": d, "signs": g, "starts": s, "counts": c})
 
         for batch in batches:
             found = batch["found"].tolist()
-            for words, counts, ids, block in _hashed(batch):
+            for words, counts, ids, signs, block in _hashed(batch):
                 grams, starts, anchor = anchors_of(words, counts, window)
                 ends = np.cumsum(counts)
                 begins = ends - counts
@@ -188,7 +194,8 @@ def window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 chosen = live[anchor]
                 starts, anchor = starts[chosen], anchor[chosen]
                 owner = np.searchsorted(ends, starts, side="right")
-                parts.append((grams[anchor], run_hashes(words, window)[starts], ids[owner], starts - begins[owner]))
+                parts.append((grams[anchor], run_hashes(words, window)[starts], ids[owner], signs[owner],
+                              starts - begins[owner]))
                 held += len(starts)
                 if held >= FLUSH_WORDS // 4:
                     yield from flushed()
@@ -206,16 +213,18 @@ def later_windows(index: DataFrame, buckets: int) -> DataFrame:
         hashes, docs = _joined(entries["keys"], np.uint64), _joined(entries["docs"], np.int64)
         starts = _joined(entries["starts"], np.int32).astype(np.int64)
         size = _joined(entries["counts"], np.int32).astype(np.int64)
+        signs = _joined(entries["signs"], np.uint32)
         owner = np.repeat(np.arange(len(size)), size)
         start = starts[owner] + np.arange(len(owner)) - (np.cumsum(size) - size)[owner]
-        doc = docs[owner]
-        by = np.lexsort((start, doc, hashes))
-        hashes, doc, start = hashes[by], doc[by], start[by]
+        doc, sign = docs[owner], signs[owner]
+        by = np.lexsort((start, sign, doc, hashes))
+        hashes, doc, sign, start = hashes[by], doc[by], sign[by], start[by]
         first = np.ones(len(hashes), bool)
         first[1:] = hashes[1:] != hashes[:-1]
         head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-        later = (doc != doc[head]) | (start != start[head])
+        later = (doc != doc[head]) | (sign != sign[head]) | (start != start[head])
         return _found_rows(np.concatenate([doc[later], _joined(known["docs"], np.int64)]),
+                           np.concatenate([sign[later], _joined(known["signs"], np.uint32)]),
                            np.concatenate([start[later], _joined(known["starts"], np.int32)]), buckets)
 
     return _by_document(index.groupBy("bucket").applyInPandas(run, FOUND))
@@ -223,12 +232,14 @@ def later_windows(index: DataFrame, buckets: int) -> DataFrame:
 
 def _with_found(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     """Rows of ``docs`` with the places found in them."""
-    found = found.withColumnRenamed("doc_id", "_id")
-    return docs.join(found, F.col("doc_id") == F.col("_id"), how).select("doc_id", "text", "found")
+    found = found.withColumnsRenamed({"doc_id": "_id", "sign": "_sign"})
+    match = (F.col("doc_id") == F.col("_id")) & (F.col("sign") == F.col("_sign"))
+    return docs.join(found, match, how).select("doc_id", "sign", "text", "found")
 
 
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
-    """``doc_id, found``: word positions (32-bit) at which windows begin that also begin earlier. ``docs`` has ``doc_id`` without nulls and ``text`` without nulls."""
+    """``doc_id, sign, found``: word positions (32-bit) at which windows begin that also begin
+    earlier. ``docs`` has ``doc_id``, ``sign`` (the CRC-32 of the text) and ``text``, all without nulls."""
     if window < GRAM:
         raise ValueError(f"a window needs {GRAM} words")
     buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -246,11 +257,13 @@ def drop_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text
     input. The kept words are joined by one space. ``spans`` are the maximal runs of words that go, as first word and
     number of words.
 
-    Null and empty texts have no words. Rows that repeat under one id are one document: places found for one of them
-    hold for all, and they are not earlier than each other. A row with a null id is left whole and makes nothing
+    Null and empty texts have no words. Rows that repeat under one id with the same text are one document: they get the
+    same answer and are not earlier than each other. Texts that differ under one id are documents in order of their
+    CRC-32. A row with a null id is left whole and makes nothing
     else go. An empty table gives no rows. Other columns are not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn(
+        "sign", F.crc32(F.col("text").cast("binary")))
     found = staged(repeated_windows(rows.filter("doc_id is not null"), window), "repeated-windows")
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

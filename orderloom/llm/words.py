@@ -37,10 +37,9 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     gaps = np.diff(starts, append=len(joined))
     place = np.arange(starts[0], len(joined)) - np.repeat(starts, gaps)
-    powers = np.full(int(gaps.max()) + 1, STEP)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    values = BYTE_VALUES[joined[starts[0]:]] * powers[place]
+    # a multiplier of its own for every place: powers of one number would let made-up words collide
+    factors = mixed((np.arange(int(gaps.max()) + 1, dtype=np.uint64) + np.uint64(1)) * STEP) | np.uint64(1)
+    values = BYTE_VALUES[joined[starts[0]:]] * factors[place]
     hashes = mixed(np.add.reduceat(values, starts - starts[0]))
     edges = np.cumsum([1] + [len(t) + 1 for t in texts])
     return hashes, np.diff(np.searchsorted(starts, edges))

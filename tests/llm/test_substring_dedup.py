@@ -70,3 +70,28 @@ def test_texts_and_spans(spark):
 
 def test_no_documents(spark):
     assert drop_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    own = " ".join(f"u{i}" for i in range(60))
+    fresh = " ".join(f"n{i}" for i in range(200))
+    cases = [[(0, passage), (1, f"{fresh} {passage}"), (1, "short")],
+             [(0, passage), (1, passage + " and five more words here"), (1, own)]]
+    for rows in cases:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        got = {(r.doc_id, r.n_words): r.n_removed for r in drop_repeats(docs).collect()}
+        assert got[(1, len(rows[1][1].split()))] == 40
+        assert got[(0, 40)] == 0 and got[(1, len(rows[2][1].split()))] == 0
+
+
+def test_words_made_to_collide_are_different(spark):
+    def thue_morse(first):
+        word = first
+        while len(word) < 1024:
+            word += word.translate(str.maketrans("ab", "ba"))
+        return word
+
+    words = [[thue_morse(first) + str(i) for i in range(24)] for first in "ab"]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "doc_id long, text string")
+    assert [r.n_removed for r in drop_repeats(docs).collect()] == [0, 0]
