@@ -12,7 +12,8 @@ from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>?",
+# a comment also ends at its own start (<!-->, <!--->) and at --!>
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>?",
                    re.S)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -20,9 +21,13 @@ WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 # Fixed by the HTML standard: elements without content, elements whose content is no markup, inline elements, and
 # elements that a new one of the same kind closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe template svg math object xmp noembed noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style title textarea iframe template svg xmp noembed noframes".split())
+# of these, the ones that end at once where they are never closed; the others take the rest of the page
+ENDS_AT_ONCE = frozenset("iframe template svg xmp noembed noframes".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark object q rp rt ruby s samp "
+                   "small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot msub "
+                   "msup msubsup munder mover munderover mstyle mpadded mphantom semantics annotation".split())
+MOST_ALIKE = 3  # of inline elements alike that are open at once, as many as the HTML standard opens anew
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"}}
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 "
@@ -82,6 +87,32 @@ def parse(page: str) -> list[Node]:
     run: list[str] = []
     links = [0, 0]  # characters in links, inline tags
     own: list[int] = []
+    began = [False]  # whether the segment has text
+    open_links = [0]
+    alike: Counter = Counter()
+
+    def open_inline(name: str, groups: list[int]) -> None:
+        links[1] += 1
+        kind = (name, tuple(groups))
+        if alike[kind] < MOST_ALIKE:
+            alike[kind] += 1
+            inline.append((name, groups))
+            open_links[0] += name == "a"
+            if began[0]:
+                own.extend(groups)
+
+    def close_inline(name: str) -> None:
+        for i in range(len(inline) - 1, -1, -1):
+            if inline[i][0] == name:
+                alike[(name, tuple(inline[i][1]))] -= 1
+                open_links[0] -= name == "a"
+                del inline[i]
+                break
+
+    def clear_inline() -> None:
+        inline.clear()
+        alike.clear()
+        open_links[0] = 0
 
     def end_segment() -> None:
         text = " ".join(unescape("".join(run)).split())
@@ -92,13 +123,16 @@ def parse(page: str) -> list[Node]:
         run.clear()
         own.clear()
         links[:] = [0, 0]
+        began[0] = False
 
     def add_text(text: str) -> None:
         run.append(text)
         if text.strip():
-            for name, groups in inline:
-                own.extend(groups)
-            if any(name == "a" for name, _ in inline):
+            if not began[0]:  # a segment has the words of each inline element it lies in once
+                began[0] = True
+                for _, groups in inline:
+                    own.extend(groups)
+            if open_links[0]:
                 links[0] += len(text)
 
     def close_to(index: int) -> None:
@@ -121,28 +155,26 @@ def parse(page: str) -> list[Node]:
         if tag in RAW:
             if not found[1] and not found[3].endswith("/"):
                 end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else len(page)
-            if tag not in ("svg", "math", "object"):
-                continue
-            run.append(" ")
+                if end:
+                    at = end.end()
+                elif tag not in ENDS_AT_ONCE:
+                    at = len(page)
+            if tag == "svg":
+                run.append(" ")
         elif tag == "br":
             run.append(" ")
         elif tag in INLINE:
             if found[1]:
-                for i in range(len(inline) - 1, -1, -1):
-                    if inline[i][0] == tag:
-                        del inline[i]
-                        break
-            else:
-                inline.append((tag, _groups(found[3])))
-                links[1] += 1
+                close_inline(tag)
+            elif not found[3].endswith("/") or tag == "a":
+                open_inline(tag, _groups(found[3]))
         elif found[1]:
             end_segment()
             for i in range(len(open_blocks) - 1, 0, -1):
                 name = nodes[open_blocks[i]].tag
                 if name == tag:
                     close_to(i)
-                    inline.clear()
+                    clear_inline()
                     break
                 if name in WALLS and tag in ("p", "li", "td", "th", "tr", "dd", "dt"):
                     break
@@ -156,7 +188,7 @@ def parse(page: str) -> list[Node]:
                 name = nodes[open_blocks[i]].tag
                 if name in closes:
                     close_to(i)
-                    inline.clear()
+                    clear_inline()
                     break
                 if name in WALLS:
                     break

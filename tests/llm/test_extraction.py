@@ -9,6 +9,8 @@ import re
 from html import unescape
 
 import numpy as np
+import time
+
 import pytest
 
 from orderloom.llm.boosting import fit_trees
@@ -127,3 +129,23 @@ def test_provided_pages(spark, model):
         parts = [" ".join(unescape(t).split()) for t in re.split(r"<[^>]+>", inner)]
         wrong += got[r.page_id] != "\n\n".join(p for p in parts if p)
     assert wrong <= 2
+
+
+@pytest.mark.parametrize("middle", [
+    "<!-->", "<!--->", "<!-- x --!>", "<!-- a > b -->", "<svg><path>", "<iframe src=x>", "<math><mi>x</mi></math>",
+    "<noscript></noscript>", "<object></object>", "<template>"])
+def test_no_text_is_lost_behind_odd_markup(middle):
+    texts = [n.text for n in parse(f"<article><p>before {middle} after</p><p>last</p></article>") if n.tag == "#text"]
+    assert " ".join(texts).replace("x after", "after").split() == ["before", "after", "last"]
+
+
+def test_formulas_stay_in_their_paragraph():
+    texts = [n.text for n in parse("<p>for <math><mi>a</mi><mo>=</mo><mn>1</mn></math> all</p>") if n.tag == "#text"]
+    assert texts == ["for a=1 all"]
+
+
+def test_many_unclosed_elements_take_linear_time():
+    began = time.process_time()
+    nodes = parse("<b class=content>x" * 20_000 + "<p>" + "<a href=y>z" * 20_000)
+    assert time.process_time() - began < 3
+    assert sum(len(n.text) for n in nodes) == 40_000
