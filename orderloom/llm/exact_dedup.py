@@ -33,6 +33,15 @@ def exact_groups(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id"
 
 
 def drop_copies(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id stays, with all their columns."""
-    kept = exact_groups(docs, keep, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, docs[id_col] == kept["_kept_id"], "left_semi")
+    """The rows of ``docs`` that stay, with all their columns: of equal texts those with the id that stays. Of a text that
+    comes with null ids alone, one row stays: the one whose columns hash lowest."""
+    found = exact_groups(docs, keep, id_col, text_col)
+    kept = found.filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text"))
+    sha = F.sha2(F.coalesce(docs[text_col].cast("string"), F.lit("")), 256)
+    named = docs.join(kept, (docs[id_col] == kept["_kept_id"]) & (sha == kept["_kept_text"]), "left_semi")
+    nameless = docs.filter(F.col(id_col).isNull()).withColumn("_kept_text", F.sha2(text_or_empty(text_col), 256))
+    with_id = found.filter("keep_id is not null and doc_id is null").select(F.col("text_sha256").alias("_kept_text"))
+    alone = nameless.join(with_id.distinct(), "_kept_text", "left_anti")
+    row = F.struct(*docs.columns)
+    one = alone.groupBy("_kept_text").agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("_row")).select("_row.*")
+    return named.unionByName(one)

@@ -422,7 +422,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: tuple[int, int] = (7
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, least: tuple[int, int] = (75, 100), id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those that a smaller id reaches by links."""
+    """The rows of ``docs`` without those that a smaller id reaches by links. Rows with a null id stay."""
     found = near_duplicates(docs, words, least, id_col, text_col)
     kept = found.filter("component_id = doc_id").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, docs[id_col] == kept["_kept_id"], "left_semi")
+    named = docs.join(kept, docs[id_col] == kept["_kept_id"], "left_semi")
+    return named.unionByName(docs.filter(F.col(id_col).isNull()))
