@@ -8,6 +8,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.sources.schemas import RecordedSink, fitted
+
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A catalog table by name, or parquet files by path."""
@@ -59,14 +61,23 @@ def rename_and_cast(df: DataFrame, spec: Mapping[str, tuple[str, str]]) -> DataF
     return df.select(*[F.col(source).cast(kind).alias(name) for name, (source, kind) in spec.items()])
 
 
-def append_partitioned(df: DataFrame, path: str, by: Mapping[str, Column] | Sequence[str]) -> None:
-    """Append history files below one folder per partition value."""
+def append_partitioned(df: DataFrame, path: str, by: Mapping[str, Column] | Sequence[str],
+                       evolve: bool = False) -> None:
+    """Append history files below one folder per partition value. With ``evolve`` the sink's columns are recorded: new
+    ones may come, and a type that does not fit fails before anything is written. Read such a sink by `read_evolved`."""
     names = list(by)
     if isinstance(by, Mapping):
         df = df.withColumns(dict(by))
+    if evolve:
+        df = fitted(df, RecordedSink(df.sparkSession, path).admit(df.schema))
     _clustered(df, names).write.mode("append").partitionBy(*names).parquet(path)
 
 
+def read_evolved(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a sink with recorded columns, those that came later null in older rows."""
+    return RecordedSink(spark, path).read()
+
+
 def _clustered(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Rows of a partition side by side, so that each gets few files. A rebalance splits
     large partition values over several tasks, which a plain repartition would not."""
