@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.keys import hash_key
 from orderloom.functions.text import blank_to_null, col
+from orderloom.operators.audit import AuditLog
 from orderloom.operators.joins import drop_matching_null_safe, same_key
 from orderloom.operators.latest import latest_per_key, newest, spread
-from orderloom.operators.merge import upsert_newer
+from orderloom.operators.merge import upsert_newer, upsert_table
+from orderloom.sources.buckets import BucketTable
 from orderloom.sources.tables import append_partitioned, read_increment, read_table, table_exists
 
 DELETE_EVENT = "incrementaldeleterows"
@@ -61,6 +66,39 @@ def archive_changes(spark: SparkSession, specs: Sequence[JournalSpec], low_water
         append_partitioned(rows, spec.target, ["load_date"])
 
 
+def archive_all(spark: SparkSession, specs: Sequence[JournalSpec], audit: AuditLog, load_type: str = "INCREMENTAL",
+                lookback: timedelta = timedelta(0), workers: int = 4) -> dict[str, str | None]:
+    """Archive many journals at once, each from its own watermark; source to error, None where it went well.
+
+    Journals share nothing: one that fails keeps its watermark and leaves the others alone. The audit is written by one
+    thread before and after, as appends of two at once would share their temporary folder.
+    """
+    low = {spec.source: audit.watermark(spec.source, load_type) for spec in specs}
+    runs = {spec.source: f"{spec.source}/{uuid.uuid4().hex}" for spec in specs}
+    audit.start(*[(spec.source, spec.target, runs[spec.source], load_type) for spec in specs])
+
+    def archive(spec: JournalSpec) -> tuple[datetime | None, str | None]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", "archive")
+        try:
+            rows = read_increment(read_table(spark, spec.source), spec.loaded_at, low[spec.source], lookback)
+            reached = rows.agg(F.max(spec.loaded_at)).first()[0]
+            archive_changes(spark, [spec], low, lookback)
+            return reached or low[spec.source], None
+        except Exception as error:
+            return None, str(error)[:1000]
+
+    with ThreadPoolExecutor(max(1, min(workers, len(specs)))) as pool:
+        work = {spec.source: pool.submit(inheritable_thread_target(spark)(archive), spec) for spec in specs}
+        found = {source: future.result() for source, future in work.items()}
+    done = {runs[s]: reached for s, (reached, error) in found.items() if error is None}
+    if done:
+        audit.success(done)
+    for source, (_, error) in found.items():
+        if error is not None:
+            audit.failure([runs[source]], error)
+    return {source: error for source, (_, error) in found.items()}
+
+
 def current_state(target: DataFrame, changes: DataFrame, keys: Sequence[str],
                   order: Sequence[str] = CHANGE_ORDER, with_deleted: bool = False) -> DataFrame:
     """Upsert the newest change per key, in the order of changes and not of their arrival: a change that comes late
@@ -81,6 +119,34 @@ def state_history(archive: DataFrame, keys: Sequence[str], states: Sequence[str]
     return latest_per_key(not_deleted(archive), parts, newest(*order))
 
 
+STATE, DELETED = "_state", "deleted"
+
+
+def state_rows(changes: DataFrame, states: Sequence[str]) -> DataFrame:
+    """Changes with the state they stand for in ``_state``; a delete is a state of its own."""
+    parts = [F.coalesce(blank_to_null(s).cast("string"), F.lit("")) for s in states]
+    reached = F.concat_ws("\u0001", F.lit("state"), *parts)
+    return changes.withColumn(STATE, F.when(F.lower("event_type") == DELETE_EVENT, F.lit(DELETED)).otherwise(reached))
+
+
+def merge_states(table: BucketTable, changes: DataFrame, keys: Sequence[str], states: Sequence[str],
+                 order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
+    """Add changes to a table of the newest change per key and state, and return what `state_history` and `drop_deleted`
+    give for all changes so far. The archive is not read again.
+
+    Changes may come late, twice or after a delete: every state keeps its newest change and every key its newest delete,
+    so batches in any order leave the same rows. ``table`` is in buckets of ``keys``; only those touched are written.
+    """
+    upsert_table(table, state_rows(changes, states), [*keys, STATE], order[0], tie_break=order[1:])
+    return visible_states(table.read(), keys, order)
+
+
+def visible_states(held: DataFrame, keys: Sequence[str], order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
+    """The states of keys whose newest change is no delete."""
+    gone = deleted_keys(held, keys, order)
+    return drop_matching_null_safe(not_deleted(held), gone, keys).drop(STATE)
+
+
 def drop_deleted(history: DataFrame, archive: DataFrame, keys: Sequence[str],
                  order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
     """Remove the rows of keys that were deleted at the source."""
@@ -119,48 +185,72 @@ def scd2_merge(target: DataFrame, staged: DataFrame,
     """
     columns, key = target.columns, "hash_sk"
     order = ["start_ts", "batch_id", "hash_seq_num"]
-    staged = latest_per_key(staged, [key, "start_ts"], newest("batch_id", "hash_seq_num")).select(*columns)
-    touched = staged.select(key).distinct()
-    rest = target.join(touched, key, "left_anti")
-    mine = target.join(touched, key, "left_semi")
-
-    # staged again: the version is there, with the same start
     same = ["hash_sk", "hash_seq_num", "start_ts"]
     fixed = {*keep, "hash_sk", "hash_seq_num"}
-    again = staged.select(*[F.col(c).alias(f"_s_{c}") for c in columns])
-    joined = mine.join(again, same_key(mine, again, {c: f"_s_{c}" for c in same}), "left")
-    newer = F.col("_s_batch_id") >= F.col("batch_id")
-    mine = joined.select(*[F.when(newer, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c not in fixed
-                           else F.col(c) for c in columns])
-    fresh = drop_matching_null_safe(staged, mine, same)
-
-    # the rest in order: a staged row opens a version unless the one before it has its context and is not ended
+    kept, moving = [c for c in keep if c not in order], [c for c in columns if c not in (*same, "batch_id")]
+    staged = latest_per_key(staged, [key, "start_ts"], newest("batch_id", "hash_seq_num")).select(*columns)
+
+    # one exchange by key serves all that follows; a version that is staged again is one row from here on
+    both = target.withColumn("_new", F.lit(0)).unionByName(staged.withColumn("_new", F.lit(1)))
+    met = both.repartition(key).groupBy(*same).agg(
+        F.min(F.struct("_new", *kept)).alias("_held"), F.max(F.struct("batch_id", "_new", *moving)).alias("_told"),
+        F.max("_new").alias("_staged"))
+    rows = met.select(*same, F.col("_told.batch_id").alias("batch_id"), F.col("_held._new").alias("_new"), "_staged",
+                      *[F.col(f"{'_held' if c in kept else '_told'}.{c}").alias(c) for c in moving])
+
+    # in order, a staged row opens a version unless the one before it has its context and is not ended
     by_key = Window.partitionBy(key).orderBy("start_ts", "_new", "batch_id", "hash_seq_num")
-    rows = mine.withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
     before = F.lag("hash_seq_num").over(by_key)
     ended = F.lag(F.when(F.col("_new") == 0, F.col("end_ts"))).over(by_key)
     refreshes = (F.col("_new") == 1) & before.eqNullSafe(F.col("hash_seq_num")) & (
         ended.isNull() | (ended > F.col("start_ts")))
     rows = rows.withColumn("_opens", F.when(F.coalesce(refreshes, F.lit(False)), 0).otherwise(1))
     rows = rows.withColumn("_version", F.sum("_opens").over(by_key))
-    last = F.struct("start_ts", "_new", "batch_id", "hash_seq_num", *[c for c in columns if c not in order])
+    last = F.struct("start_ts", "_new", "batch_id", "hash_seq_num", *[c for c in columns if c not in (*order, key)])
     merged = rows.groupBy(key, "_version").agg(
-        F.min(F.struct("_new", "start_ts", "batch_id", "hash_seq_num", *[c for c in keep if c not in order]))
-        .alias("_first"), F.max(last).alias("_last"))
+        F.min(F.struct("_new", "start_ts", "batch_id", "hash_seq_num", *kept)).alias("_first"),
+        F.max(last).alias("_last"), F.max("_staged").alias("_staged"))
     versions = merged.select(*[F.col(key) if c == key else F.col(f"_first.{c}").alias(c) if c in fixed
-                               else F.col(f"_last.{c}").alias(c) for c in columns])
-    return rest.unionByName(scd2_close(versions))
+                               else F.col(f"_last.{c}").alias(c) for c in columns], "_staged")
+    return scd2_close(versions.withColumn("_touched", F.max("_staged").over(Window.partitionBy(key))),
+                      F.col("_touched") == 1).select(*columns)
 
 
-def scd2_close(df: DataFrame) -> DataFrame:
+def scd2_close(df: DataFrame, only: Column | None = None) -> DataFrame:
     """End every version where the next one of its key starts; the last stays active,
-    unless a delete has ended it. The window spills beyond a task's memory."""
+    unless a delete has ended it. With ``only`` other rows stay as they are. The window
+    spills beyond a task's memory; for a key that holds much of a table see `scd2_close_spread`."""
     order = Window.partitionBy("hash_sk").orderBy("start_ts", "batch_id", "hash_seq_num")
-    nexts = df.withColumn("_next", F.lead("start_ts").over(order))
+    return _ended(df.withColumn("_next", F.lead("start_ts").over(order)), only)
+
+
+def _ended(nexts: DataFrame, only: Column | None = None) -> DataFrame:
     # a version that a delete has ended keeps its earlier end
-    ended = F.when(F.col("active_flg") == "N", F.col("end_ts"))
-    return nexts.withColumn("end_ts", F.least(ended, "_next")).withColumn(
-        "active_flg", F.when(F.col("end_ts").isNull(), "Y").otherwise("N")).drop("_next")
+    end = F.least(F.when(F.col("active_flg") == "N", F.col("end_ts")), "_next")
+    active = F.when(end.isNull(), "Y").otherwise("N")
+    if only is not None:
+        end, active = (F.when(only, new).otherwise(F.col(old)) for new, old in ((end, "end_ts"), (active, "active_flg")))
+    return nexts.withColumns({"end_ts": end, "active_flg": active}).drop("_next")
+
+
+def scd2_close_spread(df: DataFrame, stage: Callable[[DataFrame], DataFrame], parts: int | None = None) -> DataFrame:
+    """As `scd2_close`, also where one key has much of the table.
+
+    Rows are dealt by ranges of (key, start), so a large key lies in many ranges. Within a range the next start is at
+    hand; the last version of a key in its range takes the first start of the key's next range, found among one row per
+    key and range. ``stage`` writes rows and reads them back, so that ranges stay as they are.
+    """
+    order = ["start_ts", "batch_id", "hash_seq_num"]
+    count = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage(df.repartitionByRange(count, "hash_sk", *order).withColumn("_range", F.spark_partition_id()))
+    firsts = ranged.groupBy("hash_sk", "_range").agg(F.min("start_ts").alias("_first"))
+    by_range = Window.partitionBy("hash_sk").orderBy("_range")
+    following = firsts.select("hash_sk", "_range", F.lead("_first").over(by_range).alias("_following"))
+    within = Window.partitionBy("hash_sk", "_range").orderBy(*order)
+    nexts = ranged.withColumn("_next", F.lead("start_ts").over(within))
+    # the join shares the window's exchange; what it brings counts for the last version of a key in its range
+    whole = nexts.join(following, ["hash_sk", "_range"], "left")
+    return _ended(whole.withColumn("_next", F.coalesce("_next", "_following"))).select(*df.columns)
 
 
 def scd2_delete(target: DataFrame, live: DataFrame, keys: Sequence[str], ended_at: Column) -> DataFrame:

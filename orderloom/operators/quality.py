@@ -126,6 +126,45 @@ def run_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFra
     return reduce(lambda a, b: a.unionByName(b), results)
 
 
+RULE_ROWS = ("rule_id string, rule_type string, group_id string, table_name string, columns array<string>, "
+             "keys array<string>, severity string, parameters map<string, string>, active_flg string")
+MOST_RULES = 10_000
+
+
+class QualityStop(RuntimeError):
+    """Rules of a severity that stops the load have failed."""
+
+
+def rules_from_rows(rows: DataFrame) -> list[Rule]:
+    """Rules kept as rows of RULE_ROWS. Rows that are not active are left out; an unknown kind is an error."""
+    kinds = {cls.rule_type: cls for cls in (NotNull, FixedLength, InRange, NeededWith, References, UniqueKey)}
+    found = rows.filter("active_flg = 'Y'").orderBy("rule_id", "table_name").limit(MOST_RULES + 1).collect()
+    if len(found) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    rules = []
+    for r in found:
+        if r["rule_type"] not in kinds:
+            raise ValueError(f"rule {r['rule_id']} has the unknown kind {r['rule_type']}")
+        more: dict = dict(r["parameters"] or {})
+        if "length" in more:
+            more["length"] = int(more["length"])
+        if "parent_columns" in more:
+            more["parent_columns"] = tuple(more["parent_columns"].split(","))
+        if more.get("active_flag") == "":
+            more["active_flag"] = None
+        rules.append(kinds[r["rule_type"]](r["rule_id"], r["table_name"], tuple(r["columns"]), tuple(r["keys"] or ()),
+                                           r["group_id"] or "", r["severity"] or "HIGH", **more))
+    return rules
+
+
+def gate(results: DataFrame, stops: Sequence[str] = ("HIGH",)) -> DataFrame:
+    """The results, or QualityStop where a rule of one of these severities has failures. There is a row per rule."""
+    failed = results.filter((F.col("failing_rows") > 0) & F.col("severity").isin(*stops)).orderBy("rule_id").collect()
+    if failed:
+        raise QualityStop(", ".join(f"{r['rule_id']} on {r['table_name']}: {r['failing_rows']}" for r in failed))
+    return results
+
+
 def search_values(tables: Mapping[str, DataFrame], text: str) -> DataFrame:
     """Number of rows per text column that hold ``text`` (any case), where there are any.
 

@@ -15,8 +15,9 @@ from orderloom.operators.latest import latest_per_key, newest
 from orderloom.operators.merge import upsert_table
 from orderloom.plans.places import store_numbers
 from orderloom.plans.products import banner_products
-from orderloom.sources.snapshots import SnapshotTable
-from orderloom.sources.tables import append_partitioned, union_sources
+from orderloom.sources.buckets import BucketTable
+from orderloom.sources.schemas import RecordedSink, fitted
+from orderloom.sources.tables import replace_partitions, union_sources
 
 NETWORK_FULL, NETWORK_ALERT = "networkfullavailabilitysync", "networkavailabilityalert"
 LOCATION_DELTA, LOCATION_FULL = "locationavailabilitydeltasync", "locationavailabilityfullsync"
@@ -130,8 +131,15 @@ def publish_location(facts: DataFrame, products: DataFrame, locations: DataFrame
         F.lit("0.0").alias("supply"), iso_text("updated_ts", "000000").alias("update_time"), "load_ts").distinct()
 
 
-def load_published(rows: DataFrame, target: SnapshotTable, history_path: str, keys: Sequence[str]) -> DataFrame:
-    """Append all rows to the history, and upsert the newest per key into the target."""
-    append_partitioned(rows, history_path, {"load_date": F.to_date("load_ts")})
+def load_published(rows: DataFrame, target: BucketTable, history_path: str, keys: Sequence[str],
+                   batch: int) -> DataFrame:
+    """Add all rows to the history, and upsert the newest per key into the target.
+
+    The rows of a batch lie in folders of its number, and columns may be added from batch to batch; a batch that runs
+    again replaces its own folders and changes nothing else.
+    """
+    history = rows.withColumns({"load_date": F.to_date("load_ts"), "batch": F.lit(batch)})
+    recorded = RecordedSink(rows.sparkSession, history_path).admit(history.schema)
+    replace_partitions(fitted(history, recorded), history_path, ["load_date", "batch"])
     rest = [c for c in rows.columns if c not in (*keys, "update_time")]
     return upsert_table(target, rows, keys, stamp="update_time", tie_break=rest)

@@ -48,9 +48,23 @@ def customer_dimension(tables: Tables) -> DataFrame:
     return texts.join(billing, list(ORDER_KEY), "left").join(shipping, list(ORDER_KEY), "left")
 
 
+# The columns of a user that the dimension holds, by their names at the source.
+EMPLOYEE = {
+    "user_pk": "pk", "user_id": "user_id", "user_type_id": "user_type_id", "primary_org_id": "primary_org_id",
+    "account_type_id": "account_type_id", "identity_type_id": "identity_type_id", "is_active": "is_active",
+    "first_name": "first_name", "last_name": "last_name", "address1": "address_address1", "address2": "address_address2",
+    "address3": "address_address3", "country": "address_country", "city": "address_city", "county": "address_county",
+    "phone": "address_phone", "postal_code": "address_postalcode", "state": "address_state", "gender": "gender",
+    "all_business_units": "has_access_to_all_b_us", "all_locations": "has_access_to_all_locations",
+    "business_unit": "userbusinessunit_c", "user_group": "usergroup_c", "supply_location": "userlocationsci_c",
+    "location": "userlocation_c", "start_date": "start_date", "end_date": "end_date", "src_load_ts": "src_load_ts"}
+
+
 def employee_dimension(users: DataFrame) -> DataFrame:
-    """One row per user. Key: user_id."""
-    return users.withColumnRenamed("pk", "user_pk")
+    """One row per user, with identity, address, access and dates. Key: user_id. A column that a source lacks is null."""
+    have = set(users.columns)
+    return users.select(*[F.col(source).alias(name) if source in have else F.lit(None).cast("string").alias(name)
+                          for name, source in EMPLOYEE.items()])
 
 
 def item_dimension(tables: Tables) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 # importing a module registers its queries
-from orderloom.workload import basics, facts, loads, marts  # noqa: F401
+from orderloom.workload import basics, facts, gold, loads, marts  # noqa: F401
 from orderloom.workload.registry import CHECKS, QUERIES
 
 

@@ -14,7 +14,7 @@ from orderloom.plans import facts as X
 from orderloom.plans import fulfilment as U
 from orderloom.plans.mart_inputs import mart_lines
 from orderloom.plans.products import banner_products, division_products, product_master
-from orderloom.sources.snapshots import SnapshotTable
+from orderloom.sources.buckets import BucketTable
 from orderloom.workload import source_standins  # noqa: F401  (adds its stand-ins)
 from orderloom.workload.registry import as_doubles, new_folder, query
 from orderloom.workload.standins import Inputs
@@ -800,14 +800,14 @@ def publish_network_rows(t: Inputs) -> DataFrame:
   FROM ({_PUBLISHED_NETWORK}) GROUP BY 1, 2, 3, 4""", uses=["src_network", "products"])
 def load_published_network(t: Inputs) -> DataFrame:
     """History append and upsert of the newest row per published key, in two loads."""
-    table = SnapshotTable(t.spark, new_folder(t, "network"))
+    table = BucketTable(t.spark, new_folder(t, "network"), V.NETWORK_PUBLISH_KEY, buckets=8)
     history = new_folder(t, "network-history")
     # as if loaded over twelve days, the second half first
     loaded = F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.month("load_ts"), F.lit(0), F.lit(0), F.lit(0))
     rows = V.publish_network(t["src_network"].withColumn("load_ts", loaded), t["products"])
     middle = F.lit(datetime(2024, 1, 7)).cast("timestamp_ntz")
-    V.load_published(rows.filter(F.col("load_ts") >= middle), table, history, V.NETWORK_PUBLISH_KEY)
-    V.load_published(rows.filter(F.col("load_ts") < middle), table, history, V.NETWORK_PUBLISH_KEY)
+    V.load_published(rows.filter(F.col("load_ts") >= middle), table, history, V.NETWORK_PUBLISH_KEY, batch=1)
+    V.load_published(rows.filter(F.col("load_ts") < middle), table, history, V.NETWORK_PUBLISH_KEY, batch=2)
     if t.spark.read.parquet(history).count() != rows.count():
         raise AssertionError("the history is not whole")
     return table.read().select("product_id", "gtin", "selling_channel", "message_type", "update_time")

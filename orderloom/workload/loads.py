@@ -13,8 +13,9 @@ from orderloom.operators.audit import AuditLog, effective_watermark
 from orderloom.operators.latest import latest_per_key, newest
 from orderloom.operators.merge import load_counts, upsert, upsert_newer, upsert_pruned, upsert_table
 from orderloom.sources.messages import read_message_stream
+from orderloom.sources.buckets import BucketTable
 from orderloom.sources.snapshots import SnapshotTable
-from orderloom.sources.tables import append_partitioned
+from orderloom.sources.tables import append_partitioned, read_evolved
 from orderloom.streaming.handlers import chargeback_rows, consignment_rows, exchange_rows, order_rows, refund_rows, \
     return_rows, tender_rows
 from orderloom.streaming.ingest import MessageSink, start_ingest
@@ -163,6 +164,57 @@ def state_history_without_deleted(t: Inputs) -> DataFrame:
     return H.drop_deleted(states, t["journal"], ["pk"]).select("pk", "status_id", "least_significant_position")
 
 
+@query(f"""SELECT pk, status_id, least_significant_position FROM ({_STATES}) WHERE pk NOT IN (SELECT pk FROM ({_LAST})
+  WHERE event_type = 'IncrementalDeleteRows')""", uses=["journal"])
+def merge_state_batches(t: Inputs) -> DataFrame:
+    """Three batches in the wrong order, one of them twice: the rows of one pass over the whole archive."""
+    table = BucketTable(t.spark, new_folder(t, "states"), ["pk"], buckets=8)
+    part = F.col("least_significant_position") % 3
+    for n in (2, 0, 1, 0):
+        states = H.merge_states(table, t["journal"].filter(part == n), ["pk"], ["status_id"])
+    return states.select("pk", "status_id", "least_significant_position")
+
+
+@query("""SELECT 'journal' || CAST(user_id % 4 AS VARCHAR) AS journal, 'success' AS status, count(*) AS archived,
+    max(ts) AS watermark FROM events GROUP BY 1
+  UNION ALL SELECT 'lost', 'failed', 0, NULL""")
+def archive_journals(t: Inputs) -> DataFrame:
+    """Five journals at once, in two runs; one has no source, the others are archived all the same."""
+    root = new_folder(t, "journals")
+    log = AuditLog(t.spark, f"{root}/audit")
+    journal, middle = t["journal"], at(datetime(2024, 1, 15))
+    names = [f"journal{n}" for n in range(4)]
+    for run, rows in ((1, journal.filter(F.col("seen_at") < middle)), (2, journal.filter(F.col("seen_at") >= middle))):
+        for n, name in enumerate(names):
+            rows.filter(F.col("pk") % 4 == n).write.mode("append").parquet(f"{root}/{name}")
+        specs = [H.JournalSpec(f"{root}/{name}", f"{root}/archive/{name}", keys=("pk", "least_significant_position"))
+                 for name in (*names, "lost")]
+        H.archive_all(t.spark, specs, log)
+    source = F.element_at(F.split("job_name", "/"), -1)
+    runs = log.runs().withColumn("journal", source)
+    state = runs.groupBy("journal").agg(F.max("status").alias("status"), F.max("last_processed_ts").alias("watermark"))
+    counts = [t.spark.read.parquet(f"{root}/archive/{n}").agg(F.count(F.lit(1)).alias("archived")).select(
+        F.lit(n).alias("journal"), "archived") for n in names]
+    archived = counts[0]
+    for more in counts[1:]:
+        archived = archived.unionByName(more)
+    return state.join(archived, "journal", "left").select(
+        "journal", "status", F.coalesce("archived", F.lit(0)).cast("bigint").alias("archived"), "watermark")
+
+
+@query("""SELECT CAST(ts AS DATE) AS load_date, event_id, CASE WHEN event_id % 2 = 1 THEN event_type END AS kind, user_id
+  FROM events""")
+def append_growing_history(t: Inputs) -> DataFrame:
+    """The second batch adds a column and brings a wider type; both are read back as one table."""
+    path = new_folder(t, "growing")
+    events = t["events"].select("event_id", "user_id", "ts", F.col("event_type").alias("kind"))
+    by = {"load_date": F.to_date("ts")}
+    first = events.filter("event_id % 2 = 0").withColumn("user_id", F.col("user_id").cast("int"))
+    append_partitioned(first.drop("kind"), path, by, evolve=True)
+    append_partitioned(events.filter("event_id % 2 = 1"), path, by, evolve=True)
+    return read_evolved(t.spark, path).select("load_date", "event_id", "kind", "user_id")
+
+
 # Type-2 history ----------------------------------------------------------------------
 
 def _batch(t: Inputs, day: datetime, number: int, status: Column, where: str) -> DataFrame:
@@ -236,6 +288,24 @@ def type2_close_versions(t: Inputs) -> DataFrame:
     return H.scd2_close(staged).select("user_id", "event_id", "start_ts", "end_ts", "active_flg")
 
 
+@query("""SELECT k AS user_id, event_id, ts AS start_ts, lead(ts) OVER w AS end_ts, CASE WHEN lead(ts) OVER w IS NULL
+  THEN 'Y' ELSE 'N' END AS active_flg FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS k FROM events)
+  WINDOW w AS (PARTITION BY k ORDER BY ts, event_id)""")
+def type2_close_hot_key(t: Inputs) -> DataFrame:
+    """One key has a third of all versions; they are closed in ranges, over many tasks."""
+    key = F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")).cast("bigint")
+    rows = t["events"].select(key.alias("user_id"), "event_id", "ts", "event_type")
+    staged = H.scd2_stage(rows, ["user_id"], ["event_type"], F.col("ts"), 0, loaded_at=F.col("ts"))
+    staged = staged.withColumn("batch_id", F.col("event_id").cast("decimal(38,0)"))
+
+    def stage(df: DataFrame) -> DataFrame:
+        folder = new_folder(t, "ranges")
+        df.write.parquet(folder)
+        return t.spark.read.parquet(folder)
+
+    return H.scd2_close_spread(staged, stage, parts=16).select("user_id", "event_id", "start_ts", "end_ts", "active_flg")
+
+
 # Audit -----------------------------------------------------------------------------
 
 _RUNS = """SELECT 'run' || event_id AS run_id, event_type AS job, CASE WHEN event_id % 5 = 0 THEN 'failed'
@@ -349,6 +419,36 @@ def quality_results(t: Inputs) -> DataFrame:
     return Q.run_rules(_quality_tables(t), _RULES)
 
 
+_RULE_ROWS = [
+    ("K1", "Not Null", "G1", "versions", ["status"], ["o_orderkey"], "HIGH", None, "Y"),
+    ("K2", "Attribute length Check", "G1", "versions", ["status"], ["o_orderkey"], "LOW", {"length": "2"}, "Y"),
+    ("K3", "Attribute With in Range Check", "G1", "versions", ["o_custkey"], ["o_orderkey"], "LOW",
+     {"low": "10", "high": "100"}, "Y"),
+    ("K4", "Conditional Null Check", "G2", "versions", ["end_ts"], ["o_orderkey"], "LOW", {"other": "active_flg"}, "Y"),
+    ("K5", "Referential Integrity Check", "G2", "versions", ["o_custkey"], ["o_orderkey"], "LOW",
+     {"parent": "customer", "parent_columns": "c_custkey"}, "Y"),
+    ("K6", "Unique Key", "G2", "versions", ["o_orderkey"], [], "HIGH", None, "Y"),
+    ("K7", "Not Null", "G2", "versions", ["no such column"], [], "HIGH", None, "N"),
+]
+
+
+@query(f"""WITH {_O}, v AS ({_VERSIONS}), x AS (SELECT v.*, o_custkey FROM v JOIN orders USING (o_orderkey))
+  SELECT 'K1' AS rule_id, 'Not Null' AS rule_type, 'G1' AS group_id, 'versions' AS table_name, 'status' AS column_name,
+    'HIGH' AS severity, count(*) FILTER (status IS NULL) AS failing_rows FROM x
+  UNION ALL SELECT 'K2', 'Attribute length Check', 'G1', 'versions', 'status', 'LOW', count(*) FILTER (length(status) <> 2) FROM x
+  UNION ALL SELECT 'K3', 'Attribute With in Range Check', 'G1', 'versions', 'o_custkey', 'LOW',
+    count(*) FILTER (o_custkey NOT BETWEEN 10 AND 100) FROM x
+  UNION ALL SELECT 'K4', 'Conditional Null Check', 'G2', 'versions', 'end_ts', 'LOW', count(*) FILTER (e IS NULL) FROM x
+  UNION ALL SELECT 'K5', 'Referential Integrity Check', 'G2', 'versions', 'o_custkey', 'LOW',
+    count(*) FILTER (o_custkey % 20 = 0) FROM x
+  UNION ALL SELECT 'K6', 'Unique Key', 'G2', 'versions', 'o_orderkey', 'HIGH', 0""")
+def quality_rules_as_rows(t: Inputs) -> DataFrame:
+    """All kinds of rules from rows, over a type-2 table; the gate lets it pass, as no HIGH rule fails."""
+    tables = {"versions": _three_batches(t), "customer": t["customer"].filter("c_custkey % 20 <> 0")}
+    rules = Q.rules_from_rows(t.spark.createDataFrame(_RULE_ROWS, Q.RULE_ROWS))
+    return Q.gate(Q.run_rules(tables, rules))
+
+
 _SEARCHED = {"customer": ("c_name", "c_mktsegment"), "part": ("p_name", "p_brand", "p_type"),
              "documents": ("text", "lang", "source"), "pages": ("url", "html"),
              "conversations": ("role", "text"), "benchmark": ("text",)}
@@ -425,7 +525,7 @@ def stream_latest_events(t: Inputs) -> DataFrame:
     root = new_folder(t, "events-stream")
     events = t["events"].select("user_id", "event_type", "event_id", "ts")
     events.select(F.to_json(F.struct("*")).alias("value")).repartition(6).write.text(f"{root}/in")
-    table = SnapshotTable(t.spark, f"{root}/latest")
+    table = BucketTable(t.spark, f"{root}/latest", ["user_id", "event_type"], buckets=8)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         parsed = batch.select(F.from_json("value", events.schema).alias("e")).select("e.*")
@@ -560,7 +660,7 @@ def upsert_chargebacks(t: Inputs) -> DataFrame:
         F.concat(F.lit("REF"), F.col("o_custkey").cast("string")).alias("cegr_ref_id"),
         F.to_date("o_orderdate").alias("chargeback_date"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("chargeback_ts"), "o_orderkey")
-    table = SnapshotTable(t.spark, new_folder(t, "chargebacks"))
+    table = BucketTable(t.spark, new_folder(t, "chargebacks"), ["order_id", "cegr_ref_id"], buckets=8)
     for part in (1, 0):
         upsert_table(table, rows.filter(F.col("o_orderkey") % 2 == part), ["order_id", "cegr_ref_id"],
                      "chargeback_ts", tie_break=["o_orderkey"])
