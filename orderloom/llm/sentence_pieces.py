@@ -1,8 +1,7 @@
 """SentencePiece ids by rounds of merges over flat symbol arrays, and texts from ids.
 
 A block of texts is cut into words where no vocabulary entry can reach over the cut, and each distinct word of the block
-is merged once. In a round, every word merges all places of its best pair at once, from the left, as far as the pairs
-that the merges make are worse; words without a pair left leave the arrays.
+is merged once, by the rounds of `merging`.
 """
 
 from __future__ import annotations
@@ -17,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import text_or_empty
+from orderloom.llm.merging import Rounds
 
 BLOCK_BYTES = 6_000_000  # texts are taken in blocks of about so many bytes; a longer text is a block alone
-NONE = np.iinfo(np.int32).max
 MARK = "▁"  # how the vocabulary writes a space
 # Fixed values of the model format
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -50,7 +49,7 @@ class MergeRounds:
         normal = {p: i for i, p in enumerate(written) if kinds[i] == NORMAL}
         scores = np.array([p.score for p in model.pieces])
         levels = np.unique(-scores[kinds == NORMAL])
-        self.rank = np.append(np.searchsorted(levels, -scores).astype(np.int32), NONE)  # -1 is no piece
+        self.rank = np.searchsorted(levels, -scores).astype(np.int32)
         self.symbol = np.full(0x110000, self.unknown, np.int32)
         for p, i in normal.items():
             if len(p) == 1:
@@ -67,13 +66,13 @@ class MergeRounds:
         self.surfaces = pa.array(surfaces, pa.large_binary())
         self.hidden = kinds == CONTROL
         self.begins_blank = np.array([k == NORMAL and p[:1] == " " for k, p in zip(kinds, written)])
-        self._pairs(normal)
+        self.rounds = self._pairs(normal)
         self._cuts(normal)
 
-    def _pairs(self, normal: dict[str, int]) -> None:
-        """A hash table from two symbols to the piece they make, and which pieces may make a better pair at once."""
+    def _pairs(self, normal: dict[str, int]) -> Rounds:
+        """Every two pieces that make a third; a pair is as good as the piece it makes."""
         lefts, rights, made = [], [], []
-        n, get = len(self.rank), normal.get
+        get = normal.get
         for p, i in normal.items():
             for k in range(1, len(p)):
                 left = get(p[:k])
@@ -81,40 +80,7 @@ class MergeRounds:
                     lefts.append(left)
                     rights.append(right)
                     made.append(i)
-        lefts, rights, made = (np.array(x, np.int32) for x in (lefts, rights, made))
-        self.eager = np.zeros(n, bool)
-        for part in (lefts, rights):
-            self.eager[part[self.rank[made] <= self.rank[part]]] = True
-        keys = lefts.astype(np.int64) * n + rights
-        self.width = n
-        self.bits = max(12, int(len(keys) * 16).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.made = np.full(1 << self.bits, -1, np.int32)
-        at = self._slot(keys)
-        while len(keys):
-            free = self.keys[at] < 0
-            self.keys[at[free]] = keys[free]  # of several on one slot the last stays
-            placed = self.keys[at] == keys
-            self.made[at[placed]] = made[placed]
-            keys, made, at = keys[~placed], made[~placed], (at[~placed] + 1) & ((1 << self.bits) - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The piece that each pair of symbols makes, or -1."""
-        keys = left.astype(np.int64) * self.width + right
-        at = self._slot(keys)
-        seen = self.keys[at]
-        found = np.where(seen == keys, self.made[at], np.int32(-1))
-        open_ = np.flatnonzero((seen >= 0) & (seen != keys))
-        while len(open_):
-            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
-            seen = self.keys[at[open_]]
-            hit = seen == keys[open_]
-            found[open_[hit]] = self.made[at[open_[hit]]]
-            open_ = open_[~hit & (seen >= 0)]
-        return found
+        return Rounds(lefts, rights, made, self.rank[made])
 
     def _cuts(self, normal: dict[str, int]) -> None:
         """Between which bytes a text may be cut: those that stand side by side in no piece."""
@@ -145,56 +111,6 @@ class MergeRounds:
         nth = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
         return np.repeat(begins, sizes) + nth * self.run
 
-    def _rounds(self, symbols: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """For each first symbol the piece it ends up beginning, -1 where a symbol was merged into the one before."""
-        final = np.full(len(symbols), -1, np.int32)
-        place = np.arange(len(symbols))
-        while len(symbols):
-            made = np.full(len(symbols), -1, np.int32)
-            inside = np.flatnonzero(word[1:] == word[:-1])
-            made[inside] = self._merged(symbols[inside], symbols[inside + 1])
-            rank = self.rank[made]
-            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            sizes = np.diff(first, append=len(symbols))
-            best = np.repeat(np.minimum.reduceat(rank, first), sizes)
-            live = best < NONE
-            if not live.all():
-                final[place[~live]] = symbols[~live]
-                symbols, word, place, made, rank, best = (x[live] for x in (symbols, word, place, made, rank, best))
-                if not len(symbols):
-                    break
-            at = np.flatnonzero(rank == best)
-            fresh = np.concatenate([[True], np.diff(at) != 1])  # in a run of overlapping pairs every second one
-            at = at[(at - at[fresh][np.cumsum(fresh) - 1]) & 1 == 0]
-            eager = self.eager[made[at]]
-            if eager.any():
-                at = at[~self._late(symbols, word, made, at, eager)]
-            symbols[at] = made[at]
-            keep = np.ones(len(symbols), bool)
-            keep[at + 1] = False
-            symbols, word, place = symbols[keep], word[keep], place[keep]
-        return final
-
-    def _late(self, symbols: np.ndarray, word: np.ndarray, made: np.ndarray, at: np.ndarray,
-              eager: np.ndarray) -> np.ndarray:
-        """Which places stand, in their word, behind one whose merge makes a pair that is as good or better."""
-        e = np.flatnonzero(eager)
-        own, mine = at[e], made[at[e]]
-        limit = self.rank[mine]
-        after = np.minimum(own + 2, len(symbols) - 1)
-        right = self._merged(mine, symbols[after])
-        better = (self.rank[right] <= limit) & (own + 2 < len(symbols)) & (word[after] == word[own])
-        before = np.maximum(own - 1, 0)
-        last = at[np.maximum(e - 1, 0)]
-        touching = (e > 0) & (last + 2 == own)  # the neighbour on the left has just been merged itself
-        left = self._merged(np.where(touching, made[last], symbols[before]), mine)
-        better |= (self.rank[left] <= limit) & (own > 0) & (word[before] == word[own])
-        trigger = np.zeros(len(at), np.int64)
-        trigger[e[better]] = 1
-        earlier = np.cumsum(trigger) - trigger
-        starts = np.concatenate([[True], word[at[1:]] != word[at[:-1]]])
-        return earlier > earlier[starts][np.cumsum(starts) - 1]
-
     def encode(self, texts: list[str], end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, each text followed by ``end``; and the number of ids per text."""
         raw = [(" " + t).replace(MARK, " ").encode() if t else b"" for t in texts]
@@ -238,7 +154,7 @@ class MergeRounds:
         per_word = np.diff(np.searchsorted(heads, bounds))
         symbols = self.symbol[np.frombuffer(raw.decode().encode("utf-32-le"), "<u4")]
         word = np.repeat(np.arange(len(words)), per_word)
-        final = self._rounds(symbols, word)
+        final = self.rounds.merge(symbols, word)
         kept = np.flatnonzero(final >= 0)
         pieces, word = final[kept], word[kept]
         lost = pieces == self.unknown  # always a single character
