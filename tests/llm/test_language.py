@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.llm.language import fit, forward_backward, identify, keep_identified, time_major
+from orderloom.llm.language import FEATURES, features_of, fit, forward_backward, identify, keep_identified, time_major, \
+    words_of
 
 DATA = "/root/testdata/sf0.01/documents.parquet"
 
@@ -48,6 +49,38 @@ def test_nothing_to_learn_from(spark):
     assert identify(docs.limit(0)).count() == 0
 
 
+def test_words_are_those_of_split():
+    texts = ["a b", "", "  x\ty\x1cz ", "é\xa0ü", "日本\u3000語 b", "\x85", "one\u2028two", "no break", "tab\x0b\x0cend"] * 3
+    words, places, counts = words_of(texts)
+    flat = [words[i] for i in places]
+    assert flat == [w for t in texts for w in t.split()]
+    assert counts.tolist() == [len(t.split()) for t in texts]
+
+
+def test_features_know_affixes_grams_and_lists():
+    flat, counts, letters = features_of(["Kato", "kato", "12", "k1a"], {"kato": 5})
+    assert letters.tolist() == [4, 4, 0, 2] and counts[2] == 0
+    own = np.split(flat, np.cumsum(counts)[:-1])
+    # itself, three affixes on either side, five bigrams, four trigrams, and two languages whose lists hold it
+    assert counts.tolist()[:2] == [18, 18] and own[0].tolist() == own[1].tolist()
+    assert own[0][-2:].tolist() == [FEATURES, FEATURES + 2]
+    assert counts[3] == 1 + 4 + 3 + 2  # two letters: affixes of one and two, three bigrams, two trigrams
+
+
+def test_single_precision_gives_the_same_labels():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(1, 400, 300)
+    scores, transitions = rng.normal(size=(counts.sum(), 4)) * 3, rng.normal(size=(4, 4)) * 2
+    place, begins = time_major(counts)
+    ordered = np.empty_like(scores)
+    ordered[place] = scores
+    exact = forward_backward(ordered, begins, transitions)
+    single = forward_backward(ordered.astype(np.float32), begins, transitions)
+    assert np.abs(exact - single).max() < 1e-4
+    clear = np.sort(exact, axis=1)[:, -1] - np.sort(exact, axis=1)[:, -2] > 1e-3
+    assert (exact.argmax(1) == single.argmax(1))[clear].all()
+
+
 def rows():
     words = {"xx": ["kato", "mikato", "tokami", "nakitu"], "yy": ["straugh", "brelds", "schwolm", "frints"]}
     out = []
@@ -71,7 +104,7 @@ def test_mixed_and_odd_texts(spark):
     assert got[503].lang_pred == "xx" and got[504].lang_pred == "yy" and 0.6 < got[504].score < 0.9
     kept = keep_identified(docs)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {i for i, *_ in rows()} | {503, 504, 505}
+    assert {r.doc_id for r in kept.collect()} == {i for i, *_ in rows()} | {503, 504, 505, None}
 
 
 @pytest.mark.skipif(not os.path.exists(DATA), reason="the provided data is not here")
