@@ -18,6 +18,8 @@ from orderloom.llm import common
 from orderloom.llm.common import attach_groups
 from orderloom.llm.exact_dedup import drop_copies, exact_groups
 from orderloom.llm.language import identify
+from orderloom.llm.ngram_join import keep_one_of_each
+from orderloom.llm.language import keep_identified
 from orderloom.llm.mixing import mix, source_rates
 from tests.llm.test_ngram_join import brute
 
@@ -98,7 +100,9 @@ def test_exact_groups(spark, keep, choose):
     assert all(r.kept == (r.doc_id is not None and r.doc_id == r.keep_id) for r in got)
     left = drop_copies(docs, keep)
     assert left.columns == docs.columns
-    assert {r.doc_id for r in left.collect()} == {r.doc_id for r in got if r.kept}
+    kept = {r.doc_id for r in got if r.kept}
+    assert {r.doc_id for r in left.collect()} == kept | {None}  # of a text that only null ids have, one row stays
+    assert [r.text for r in left.filter("doc_id is null").collect()] == ["alone"]
     assert exact_groups(docs.limit(0)).count() == 0
 
 
@@ -147,3 +151,18 @@ def test_given_weights_and_large_rates(spark):
     assert set(found) == {"s1", None} and rates["big"] == 0 and rates[None] > 1000
     assert found[None] == pytest.approx(2 * rates[None], rel=0.1)
     assert mix(docs.limit(0)).count() == 0
+
+
+def test_rows_with_null_ids_pass_every_stage(spark):
+    words = " ".join(f"word{i}" for i in range(30))
+    rows = [(None, f"{words} alone", "en", "s", 1), (None, f"{words} alone", "en", "s", 1), (None, None, None, "s", 0),
+            (1, "an english text about things", "en", "s", 2), (2, "noch ein deutscher Text dazu", "de", "s", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert drop_copies(docs.filter("text is not null")).filter("doc_id is null").count() == 1
+    assert keep_one_of_each(docs).filter("doc_id is null").count() == 3
+    assert keep_identified(docs).filter("doc_id is null").count() == 2
+
+
+def test_texts_under_one_id_are_judged_alone(spark):
+    docs = spark.createDataFrame([(3, "a"), (5, "a"), (5, "b")], "doc_id long, text string")
+    assert sorted(map(tuple, drop_copies(docs).collect())) == [(3, "a"), (5, "b")]
