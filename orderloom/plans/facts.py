@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.text import between_marks, blank_to_null, status_or_null
 from orderloom.operators.aggregate import distinct_text, max_if, newest_if, pack_ordered, pivot_notes, sum_if
 from orderloom.operators.history import current_only
-from orderloom.operators.joins import prefixed
+from orderloom.operators.joins import lookup_join, prefixed
 from orderloom.operators.latest import latest_per_key, newest
 from orderloom.operators.nested import with_json_fields
 from orderloom.plans.amounts import LINE_KEY, ORDER_KEY
@@ -219,7 +219,7 @@ def order_header_fact(tables: Tables, original_process: str, profile: str | None
 
     def described(df: DataFrame, column: str, process: str, name: str) -> DataFrame:
         table = statuses.filter(F.col("_process") == process).select("_status", F.col("description").alias(name))
-        return df.join(table, status_or_null(column) == F.col("_status"), "left").drop("_status")
+        return lookup_join(df, table, status_or_null(column) == F.col("_status")).drop("_status")
 
     rows = described(keyed, "min_fulfillment_status_id", "order_execution", "min_status_desc")
     rows = described(rows, "max_fulfillment_status_id", "order_execution", "max_status_desc")
@@ -238,10 +238,10 @@ def order_header_fact(tables: Tables, original_process: str, profile: str | None
     taxes = tax_sums(tables["order_taxes"], ORDER_LINK, original_process, "tax_detail_id").drop("tax_code")
     lost_taxes = tax_sums(tables["cancelled_order_taxes"], ORDER_LINK, original_process, "tax_detail_id")
 
-    rows = (rows.join(kinds, F.col("order_type_id") == F.col("_kind"), "left").drop("_kind")
-            .join(reasons, F.col("cancel_reason_id") == F.col("_reason"), "left").drop("_reason")
-            .join(paid, status_or_null("payment_status_id") == F.col("_paid"), "left").drop("_paid")
-            .join(newest_of(tables["order_holds"], ORDER_LINK, ("status_id", "resolve_reason_id", "hold_type"),
+    rows = lookup_join(rows, kinds, F.col("order_type_id") == F.col("_kind")).drop("_kind")
+    rows = lookup_join(rows, reasons, F.col("cancel_reason_id") == F.col("_reason")).drop("_reason")
+    rows = lookup_join(rows, paid, status_or_null("payment_status_id") == F.col("_paid")).drop("_paid")
+    rows = (rows.join(newest_of(tables["order_holds"], ORDER_LINK, ("status_id", "resolve_reason_id", "hold_type"),
                             prefix="hold_"), list(ORDER_LINK), "left")
             .join(newest_of(tables["tracking"], ORDER_LINK, ("tracking_number",)), list(ORDER_LINK), "left")
             .join(newest_of(tables["return_tracking"], ORDER_LINK, ("return_tracking_number",)),
@@ -382,7 +382,7 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
     for column, name in (("min_fulfillment_status_id", "min_status_desc"),
                          ("max_fulfillment_status_id", "max_status_desc")):
         table = statuses.select("_status", F.col("description").alias(name))
-        rows = rows.join(table, status_or_null(column) == F.col("_status"), "left").drop("_status")
+        rows = lookup_join(rows, table, status_or_null(column) == F.col("_status")).drop("_status")
     for other in (charges, taxes, _cancelled(lost_charges, LINE_LINK), _cancelled(lost_taxes, LINE_LINK),
                   returned, cancelled, more, notes, backordered_lines(history)):
         # one partitioning by line serves all of these joins
@@ -391,11 +391,11 @@ def order_line_fact(tables: Tables, original_process: str, profile: str | None =
 
     # a warehouse is known by its store number; the location type follows that number
     rows = rows.withColumn("_from", F.coalesce("release_ship_from", "_promised_from", "physical_origin_id"))
-    rows = rows.join(houses, ["org_id", "_from"], "left")
+    rows = lookup_join(rows, houses, ["org_id", "_from"])
     rows = rows.withColumn("ship_from_location", F.coalesce("_house_store", "_from"))
     for column, name in (("ship_from_location", "ship_from_type"), ("ship_to_location_id", "ship_to_type")):
         table = kinds.select(F.col("location_id").alias("_place"), F.col("_kind").alias(name))
-        rows = rows.join(table, F.col(column) == F.col("_place"), "left").drop("_place")
+        rows = lookup_join(rows, table, F.col(column) == F.col("_place")).drop("_place")
 
     card = F.lower("item_id").like("%card%")
     no_total = F.coalesce("_order_total", F.lit(0)) == 0
@@ -501,8 +501,8 @@ def payment_line_fact(tables: Tables, changed: DataFrame | None = None) -> DataF
     rows = (known.withColumn("payment_method_pk", F.col("method_pk"))
             .join(rows, ["org_id", "payment_method_pk"])
             .join(billing, ["org_id", "payment_method_pk"], "left")
-            .join(attributes, ["org_id", "payment_method_pk"], "left")
-            .join(paid, status_or_null("payment_status") == F.col("_paid"), "left"))
+            .join(attributes, ["org_id", "payment_method_pk"], "left"))
+    rows = lookup_join(rows, paid, status_or_null("payment_status") == F.col("_paid"))
     return rows.withColumns({
         "order_id": F.col("_head_order"),
         "transaction_id": F.col("payment_transaction_id"),
