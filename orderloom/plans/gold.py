@@ -24,7 +24,7 @@ from orderloom.plans import dimensions as D
 from orderloom.plans import facts as X
 from orderloom.plans import fulfilment as U
 from orderloom.plans.amounts import LINE_KEY, ORDER_KEY
-from orderloom.session import shared_dir
+from orderloom.session import run_dir
 from orderloom.sources.buckets import BucketTable
 from orderloom.sources.schemas import evolved, fitted
 from orderloom.sources.tables import read_increment
@@ -118,7 +118,7 @@ def changed_keys(model: GoldModel, tables: Tables, new: Mapping[str, DataFrame])
 
 def _staged(df: DataFrame) -> DataFrame:
     """Written once to the shared folder, so that what follows reads it and does not compute it again."""
-    folder = f"{shared_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}"
+    folder = f"{run_dir(df.sparkSession)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

@@ -51,6 +51,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that this application stages its tables in."""
+    return f"{shared_dir(spark)}/run-{spark.sparkContext.applicationId}"
+
+
+def drop_run_dir(spark: SparkSession) -> None:
+    """Remove what this application has staged; call it once results are written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives the loss of executors."""
     spark = df.sparkSession

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from orderloom.plans import gold as G
 from orderloom.plans.gold import GoldLoader, GoldModel
+from orderloom.plans.mart_inputs import pinned_sources
+from orderloom.plans.orders import order_header_mart
 from orderloom.workload.facts import INITIAL, PROFILE, Source, _line_versions
-from orderloom.workload.registry import new_folder, query
+from orderloom.workload.registry import as_doubles, new_folder, query
 from orderloom.workload.standins import Inputs
 
 FIRST, SECOND = datetime(2024, 1, 2), datetime(2024, 1, 3)
@@ -447,3 +449,32 @@ gold_query(G.promotion(), ("promo_type_desc", "item_promo_condition", "combo_min
             "combo": (COMBO_QUALIFIERS, "combo_promotion_config_pk % 9 = 0", "FALSE"),
             "conditions": (ITEM_QUALIFIERS, "item_promotion_config_pk % 8 = 0", "FALSE")}, "pk % 10 = 7",
            named={"promotions": "combo_promotions", "combo": "combo_qualifiers", "conditions": "item_qualifiers"})
+
+
+# Marts from facts ------------------------------------------------------------------------
+
+_STATUS = """CASE WHEN CAST(CAST(max_fulfillment_status_id AS DOUBLE) AS INTEGER) = 3000 THEN 'FULFILMENT_PROCESSING'
+  WHEN CAST(CAST(max_fulfillment_status_id AS DOUBLE) AS INTEGER) = 7000 THEN 'FULFILMENT_COMPLETE' ELSE 'CANCELLED' END"""
+
+
+@query(f"""WITH l AS (SELECT * FROM src_lines QUALIFY row_number() OVER (PARTITION BY org_id, order_id, order_line_id ORDER BY
+    updated_timestamp DESC, pk DESC) = 1),
+  c AS (SELECT org_id, order_line_pk, sum(coalesce(charge_total, requested_amount)) AS coupon FROM src_charges
+    WHERE lower(charge_type_id) = 'coupon' AND coalesce(charge_total, requested_amount, 0) <> 0 GROUP BY ALL),
+  s AS (SELECT l.org_id, l.order_id, abs(sum(CASE WHEN coalesce(order_line_sub_total, 0) = 0 AND item_id LIKE '%ECARD%' THEN
+      coalesce(gift_card_value, 0) ELSE coalesce(order_line_sub_total, 0) END)) AS sub, abs(coalesce(sum(coupon), 0)) AS coupon
+    FROM l LEFT JOIN c ON c.org_id = l.org_id AND c.order_line_pk = l.pk
+    WHERE parent_order_id IS NULL OR is_even_exchange = 1 GROUP BY ALL)
+  SELECT org_id, order_id, {_STATUS} AS order_status, CAST(sub AS DOUBLE) AS sub_total_amount,
+    CAST(s.coupon AS DOUBLE) AS coupon_amount FROM src_orders JOIN s USING (org_id, order_id)
+  WHERE order_type_id <> 'Launch'""", uses=["src_lines", "src_charges", "src_orders"])
+def order_mart_from_facts(t: Inputs) -> DataFrame:
+    """Gold loads of headers, lines and payments, and the order mart from their pinned versions."""
+    story = Story(G.order_header(INITIAL, PROFILE), {}, {})
+    loader = GoldLoader(t.spark, new_folder(t, "facts"), Batch(t, story, 1), buckets=8, stamp=STAMP)
+    models = G.order_header(INITIAL, PROFILE), G.order_line(INITIAL, PROFILE, PROFILE), G.payment_line()
+    for model in models:
+        loader.run(model, 1, FIRST, "FULL")
+    facts = pinned_sources(*[loader.table(m) for m in models])
+    mart = order_header_mart(facts.headers, facts.lines, facts.payments, t["places"], t["stores"], t["cancel_codes"])
+    return as_doubles(mart.select("org_id", "order_id", "order_status", "sub_total_amount", "coupon_amount"))

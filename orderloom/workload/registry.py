@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.session import shared_dir
+from orderloom.session import run_dir
 from orderloom.workload.standins import Inputs, check_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,4 +38,4 @@ def as_doubles(df: DataFrame) -> DataFrame:
 
 def new_folder(t: Inputs, name: str) -> str:
     """A folder of its own for one run, in the shared directory."""
-    return f"{shared_dir(t.spark)}/workload/{name}-{uuid.uuid4().hex}"
+    return f"{run_dir(t.spark)}/workload/{name}-{uuid.uuid4().hex}"

@@ -12,7 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.operators.joins import estimated_bytes
-from orderloom.session import shared_dir
+from orderloom.session import run_dir
+from orderloom.sources.tables import table_exists
 
 FILE_BYTES = 256 * 1024 * 1024
 
@@ -345,8 +346,8 @@ class Inputs:
 
     def _stored(self, name: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _written:
-            path = f"{shared_dir(self.spark)}/workload/standins/{uuid.uuid4().hex}/{name}"
+        if key not in _written or not table_exists(self.spark, _written[key]):  # the run's folder may have been dropped
+            path = f"{run_dir(self.spark)}/workload/standins/{uuid.uuid4().hex}/{name}"
             rows = self.sql(STANDINS[name])
             # provided files may be too small to split, so the rows are spread over the cores once;
             # a stand-in is at most a few times as large as what it is made of

@@ -52,6 +52,15 @@ def test_a_commit_leaves_other_buckets_alone(spark, tmp_path, rows):
     assert upsert_table(table, change, ["k"], "v").count() == 42
 
 
+def test_a_pinned_version_stays_as_it_was(spark, tmp_path, rows):
+    table = BucketTable(spark, str(tmp_path / "t"), ["k"], buckets=2, keep=3)
+    for v in (1, 2, 3):
+        upsert_table(table, spark.createDataFrame([(1, v), (v + 10, v)], "k int, v int"), ["k"], "v")
+    assert rows(table.read(version=2)) == [(1, 2), (11, 1), (12, 2)]
+    assert rows(table.read(version=1)) == [(1, 1), (11, 1)]
+    assert table.read().count() == 4
+
+
 def test_of_two_writers_one_waits(spark, tmp_path, rows):
     first = BucketTable(spark, str(tmp_path / "t"), ["k"], buckets=2)
     upsert_table(first, spark.createDataFrame([(1, 1)], "k int, v int"), ["k"], "v")

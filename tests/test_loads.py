@@ -10,7 +10,7 @@ from orderloom.operators import history as H
 from orderloom.operators import quality as Q
 from orderloom.operators.audit import AuditLog
 from orderloom.operators.merge import load_counts, require_unique, upsert, upsert_newer, upsert_pruned, upsert_table
-from orderloom.session import cut_lineage, shared_dir
+from orderloom.session import cut_lineage, drop_run_dir, run_dir, shared_dir
 from orderloom.sources.snapshots import SnapshotTable
 from orderloom.sources.tables import append_partitioned
 
@@ -294,3 +294,12 @@ def test_shared_folder_comes_from_the_session(spark):
     cut = cut_lineage(spark.range(3).selectExpr("id * 2 AS x"))
     assert sorted(r.x for r in cut.collect()) == [0, 2, 4]
     assert any(Path(shared_dir(spark)).iterdir())
+
+
+def test_staged_tables_go_with_the_run(spark):
+    path = f"{run_dir(spark)}/something"
+    spark.range(1).write.parquet(path)
+    other = SnapshotTable(spark, f"{shared_dir(spark)}/kept")
+    other.write(spark.range(1))
+    drop_run_dir(spark)
+    assert not Path(run_dir(spark)).exists() and other.read().count() == 1
