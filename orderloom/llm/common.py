@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.session import shared_dir
+from orderloom.session import run_dir
 
 # A group counts as hot from this share of all rows on; so there are at most HOT_SHARE hot groups.
 HOT_SHARE = 1000
@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder that no other run uses, in the folder all executors share."""
-    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
