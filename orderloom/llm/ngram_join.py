@@ -325,10 +325,14 @@ def apart_pairs(crowd: DataFrame, least: tuple[int, int], buckets: int) -> DataF
     keys = (crowd.groupBy("key").agg(F.min("a").alias("first"), F.min("label").alias("lo"), F.max("label").alias("hi"))
             .filter("lo <> hi").select("key", "first"))
     rows = staged(crowd.join(keys, "key"), "crowds-apart")
-    blocks = rows.groupBy("first").agg(F.ceil(F.approx_count_distinct("a") / BLOCK_SETS).cast("int").alias("blocks"))
+    rows = rows.withColumn("_first", F.col("first").cast("string"))
+    blocks = staged(rows.groupBy("_first").agg(
+        F.count(F.lit(1)).alias("size"), F.ceil(F.approx_count_distinct("a") / BLOCK_SETS).cast("int").alias("blocks")),
+        "crowd-blocks")
     own = F.pmod(F.hash("a"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = rows.join(blocks, "first").withColumn("own", own).withColumn("other", other).select(
+    # the rows of a large crowd learn its number of blocks where they are
+    dealt = attach_groups(rows, blocks, "_first", "size", "a").withColumn("own", own).withColumn("other", other).select(
         "first", "key", "a", "n", "c", "label", "own", F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"))
     dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("first", "i", "j"), F.lit(buckets)))
