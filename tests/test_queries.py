@@ -18,7 +18,7 @@ DATA = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 SOME = ("scan_recent_lines", "build_sellable_keys", "pack_lines_per_order", "join_conditional_key",
         "payment_amount_rule", "latest_event_per_key", "first_values_per_line", "upsert_orders", "type2_merge",
         "quality_results", "network_feed_rows", "allocation_fact_rows", "order_line_mart_rows", "exchanges_mart_rows",
-        "load_employee", "merge_state_batches", "append_growing_history", "quality_rules_as_rows", "batch_mart_load")
+        "load_employee", "merge_state_batches", "append_growing_history", "quality_rules_as_rows")
 # The smallest data holds one line twice under the key these queries rely on.
 REPEATED_LINE = {"stream_order_messages", "tender_rows_published", "order_line_fact_rows", "fulfilment_line_rows",
                  "release_detail_rows", "payment_line_fact_rows"}
